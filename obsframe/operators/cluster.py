@@ -10,6 +10,7 @@ from obsframe.functions.text import address_part, grid
 from obsframe.operators.lookup import lookup_join
 from obsframe.operators.nearest import nearest_place
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES
+from obsframe.workspace import materialize
 
 DAILY_FEATURES = ["Longitude", "Latitude", *DAILY_TEMPERATURES]
 CURRENT_FEATURES = CASUAL_METRICS
@@ -132,7 +133,7 @@ def name_centroids(of: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 
 def join_names(summary: DataFrame, named: DataFrame) -> DataFrame:
-    """Inner join of a summary with its clusters' names; the centroid is the one over all times."""
+    """Inner join of a summary with its clusters' (stored) names; the centroid is the one over all times."""
     kept = [c for c in summary.columns if c not in named.columns or c == "prediction"]
     return lookup_join(summary.select(*kept), named, ["prediction"])
 
@@ -143,9 +144,11 @@ def cluster_points(clustered: DataFrame, by: list[str], most: int = POINTS_PER_F
     A group of more than ``most`` points comes as several rows of about ``most`` points each, so that no
     row and no task holds a whole large group.
     """
-    sizes = clustered.groupBy(*by).agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
-    placed = lookup_join(clustered.select(*by, "locationID", "Longitude", "Latitude"), sizes, by)
-    part = F.pmod(F.xxhash64("locationID", "Longitude", "Latitude"), F.col("parts")).cast("int")
-    return placed.groupBy(*by, "parts", part.alias("part")).agg(
+    sizes = clustered.groupBy(*by).agg(F.ceil(F.count("*") / most).cast("int").alias("_parts"))
+    large = materialize(sizes.where(F.col("_parts") > 1), "large-groups")
+    placed = lookup_join(clustered.select(*by, "locationID", "Longitude", "Latitude"), large, by, "left")
+    parts = F.coalesce("_parts", F.lit(1))
+    part = F.pmod(F.xxhash64("locationID", "Longitude", "Latitude"), parts).cast("int")
+    return placed.groupBy(*by, parts.alias("parts"), part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("locationID", "Longitude", "Latitude"))).alias("points")
     )

@@ -12,9 +12,14 @@ BROADCAST_ROWS = 50_000
 HOT_SHARE = 1_000
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Counts no further than ``rows`` + 1."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame) -> bool:
+    """Counted, not estimated. Pass a stored table: its count comes from the file footers."""
+    return df.count() <= BROADCAST_ROWS
+
+
+def sized_join(facts: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Broadcast the (stored) table if it is small; else leave the join to a shuffle."""
+    return facts.join(F.broadcast(table) if is_small(table) else table, on, how)
 
 
 def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
@@ -26,23 +31,22 @@ def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
 
 def lookup_join(
     facts: DataFrame, table: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None,
-    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join ``facts`` (``inner`` or ``left``) to ``table``, which has a bounded number of rows per key.
+    """Join ``facts`` (``inner`` or ``left``) to a stored ``table`` with a bounded number of rows per key.
 
     A small table is broadcast. Beyond that only the rows of the hot keys are, as there are fewer than
     HOT_SHARE such keys, and all other keys meet in a shuffle in which no key is large.
     """
-    if is_small(table, rows):
+    if is_small(table):
         return facts.join(F.broadcast(table), on, how)
     facts = materialize(facts, "lookup-facts")
-    if how == "inner" and is_small(facts, rows):
+    if how == "inner" and is_small(facts):
         return table.join(F.broadcast(facts), on).select(
             *facts.columns, *[c for c in table.columns if c not in on]
         )
     hot = materialize(hot_keys(facts, on) if hot is None else hot, "hot-keys")
     hot_rows = materialize(table.join(F.broadcast(hot), on, "left_semi"), "hot-rows")
-    if not is_small(hot_rows, rows):
+    if not (is_small(hot) and is_small(hot_rows)):
         return facts.join(table, on, how)
     return (
         facts.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_rows), on, how)

@@ -44,9 +44,10 @@ def running_total(df: DataFrame, within: str, order_by: str, amount: str, before
         df.orderBy(within, order_by).withColumn("_part", F.spark_partition_id()), "running-total"
     )
     ahead = Window.partitionBy(within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = materialize(
         stored.groupBy("_part", within).agg(F.sum(amount).alias("_sum"))
-        .select("_part", within, F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
+        .select("_part", within, F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead")),
+        "running-offsets",
     )
     local = Window.partitionBy("_part", within).orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
     inside = stored.withColumn("_inside", F.coalesce(F.sum(amount).over(local), F.lit(0)))

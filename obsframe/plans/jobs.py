@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from obsframe.functions.geojson import polygon, ring
 from obsframe.operators import cluster
 from obsframe.operators.correlate import spearman_long
+from obsframe.operators.lookup import sized_join
 from obsframe.operators.places import locate
 from obsframe.operators.shards import union_shards
 from obsframe.operators.versions import latest_forecasts
@@ -26,10 +27,10 @@ class Result:
 
 
 def daily_features(summary: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
-    """One GeoJSON Feature per group; a large group has several, see :func:`cluster.cluster_points`."""
+    """One GeoJSON Feature per group; a large group has several, see :func:`cluster.cluster_points`.
+    ``summary`` is a stored table with one row per group."""
     properties = {"name": F.col("centroid_address"), **{t: F.col(t) for t in DAILY_TEMPERATURES}}
-    # Both sides are grouped alike, so they meet one to one, but for the parts of large groups.
-    return points.join(summary, by).select(
+    return sized_join(points, summary, by).select(
         *by, "part", polygon(ring(F.col("points")), properties).alias("geojson")
     )
 
@@ -41,7 +42,7 @@ def run_daily(daily: DataFrame, places: DataFrame, gazetteer: DataFrame, k: int
     model = cluster.fit_clusters(located, cluster.DAILY_FEATURES, k)
     clustered = materialize(cluster.assign_clusters(model, located), "daily-clustered")
     named = materialize(cluster.name_centroids(cluster.centroids(clustered), gazetteer), "daily-named")
-    summary = cluster.join_names(cluster.summarize_daily(clustered), named)
+    summary = materialize(cluster.join_names(cluster.summarize_daily(clustered), named), "daily-summary")
     points = cluster.cluster_points(clustered, ["time", "prediction"])
     features = daily_features(summary, points, ["time", "prediction"])
     return Result(
@@ -58,9 +59,7 @@ def run_current(
     columns = ["time", "locationID", *cluster.CURRENT_FEATURES]
     located = materialize(locate(current.select(*columns), places.select(*POSITION)), "current")
     model = cluster.fit_clusters(located, cluster.CURRENT_FEATURES, k)
-    clustered = materialize(
-        cluster.assign_clusters(model, located), "current-clustered"
-    )
+    clustered = materialize(cluster.assign_clusters(model, located), "current-clustered")
     named = materialize(cluster.name_centroids(cluster.centroids(clustered), gazetteer), "current-named")
     summary = materialize(cluster.join_names(cluster.summarize_current(clustered), named), "current-summary")
     metrics = [f"avg_{m}" for m in cluster.CURRENT_FEATURES]

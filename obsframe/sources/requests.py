@@ -47,8 +47,9 @@ def build_requests(
     )
 
 
-def fetch(requests: DataFrame, transport: Transport) -> DataFrame:
-    """Send each request from a task: (shard, batch, ids, status, body). A raised error is status 0."""
+def fetch(requests: DataFrame, transport: Transport, connections: int = 8) -> DataFrame:
+    """Send each request from one of ``connections`` tasks: (shard, batch, ids, status, body). A raised error is
+    status 0."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -64,7 +65,8 @@ def fetch(requests: DataFrame, transport: Transport) -> DataFrame:
 
     ids = requests.schema["ids"].dataType.simpleString()
     kinds = {c: requests.schema[c].dataType.simpleString() for c in ("shard", "batch")}
-    return requests.select("shard", "batch", "ids", *REQUEST_COLUMNS).mapInPandas(
+    spread = requests.select("shard", "batch", "ids", *REQUEST_COLUMNS).repartition(connections, "shard", "batch")
+    return spread.mapInPandas(
         send, f"shard {kinds['shard']}, batch {kinds['batch']}, ids {ids}, status int, body string"
     )
 

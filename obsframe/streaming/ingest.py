@@ -40,11 +40,11 @@ def with_day(rows: DataFrame) -> DataFrame:
 
 def unseen(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
     """One row per (locationID, time), none that is stored. Only stored days that occur in ``rows`` are read."""
-    rows = latest(rows, KEY, [F.col(c) for c in rows.columns if c not in KEY])
+    once = latest(rows, KEY, [F.col(c) for c in rows.columns if c not in KEY])
     if stored is None:
-        return rows
+        return once
     days = rows.select("day").distinct()
-    return rows.join(stored.join(days, "day", "left_semi").select(*KEY), KEY, "left_anti")
+    return once.join(stored.join(days, "day", "left_semi").select(*KEY), KEY, "left_anti")
 
 
 def start_ingest(
