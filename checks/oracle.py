@@ -43,7 +43,8 @@ ORACLE = {
     "q_fetch_requests": f"""SELECT shard, seat // 30 AS batch, count(*) AS n, min(id) AS first_id, max(id) AS last_id,
         string_agg(CAST("Latitude" AS VARCHAR) || ', ' || CAST("Longitude" AS VARCHAR), '; ' ORDER BY seat) AS points,
         '{",".join(CASUAL_METRICS)}' AS variables FROM {SHARDS} GROUP BY shard, seat // 30""",
-    "q_fetch_records": f"SELECT id, \"Latitude\" AS latitude, \"Longitude\" AS longitude FROM {PLACES}",
+    "q_fetch_records": f"""SELECT CASE shard WHEN 1 THEN 'weather_1' ELSE 'weather_2' END AS topic, id,
+        "Latitude" AS latitude, "Longitude" AS longitude FROM {SHARDS}""",
     "q_fetch_errors": """SELECT event_id, CASE event_type WHEN 'error' THEN 500 ELSE 200 END AS status, props AS body,
         CASE event_type WHEN 'error' THEN 'error' ELSE 'record' END AS goes_to FROM events""",
     "q_page_slice": """SELECT page, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,

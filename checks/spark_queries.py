@@ -19,7 +19,7 @@ from obsframe.functions.text import address_part, grid, page_query
 from obsframe.operators import cluster
 from obsframe.operators.correlate import spearman_long
 from obsframe.operators.envelope import (
-    current_rows, encode_messages, entries, forecast_rows, parse_messages, valid_messages,
+    current_rows, encode_messages, entries, forecast_rows, parse_messages, tag_records, valid_messages,
 )
 from obsframe.operators.lookup import lookup_join
 from obsframe.operators.nearest import nearest_join
@@ -27,15 +27,16 @@ from obsframe.operators.places import locate
 from obsframe.operators.position import with_position
 from obsframe.operators.shards import shard_sizes, split_shards, table_of, topic_of, union_shards
 from obsframe.operators.versions import insert_ignore, latest, latest_forecasts
+from obsframe.plans.crawl import crawl
 from obsframe.plans.jobs import run_once
 from obsframe.schemas import CASUAL_METRICS, CURRENT_TABLE, DAILY_TEMPERATURES, FULL_METRICS, ROWS_PER_PAGE, TIMEZONE
 from obsframe.sinks.tables import append_by_shard, create_tables, insert_rows
 from obsframe.sources.locations import read_locations
 from obsframe.sources.paged import page_rows, read_pages, read_table, register_paged_rest
-from obsframe.sources.requests import build_requests, failed, fetch, profile, records, succeeded
+from obsframe.sources.requests import build_requests, failed, profile, succeeded
 from obsframe.sources.streams import stored_messages
 from obsframe.sources.transports import StoredPages
-from obsframe.streaming.ingest import distinct_readings, read_folder, start_ingest
+from obsframe.streaming.ingest import distinct_readings, ingest_to_folder, read_folder
 from obsframe.workspace import materialize, new_path
 
 cloudpickle.register_pickle_by_value(checks)
@@ -94,12 +95,13 @@ def q_fetch_requests(spark, sf):
 def q_fetch_records(spark, sf):
     def echo(request):
         return 200, json.dumps([
-            {"latitude": lat, "current": {"temperature_2m": lat}, "daily": {"temperature_2m_max": [lon]}}
+            {"latitude": lat, "current": {"interval": 900, "temperature_2m": lat}, "daily": {"temperature_2m_max": [lon]}}
             for lat, lon in zip(request["latitude"], request["longitude"])
         ])
 
-    return records(fetch(build_requests(split_shards(places(spark, sf))), echo)).select(
-        "id", F.col("current.temperature_2m").cast("double").alias("latitude"),
+    found, _ = crawl(places(spark, sf), echo, connections=spark.sparkContext.defaultParallelism)
+    return parse_messages(tag_records(found), "topic").select(
+        "topic", F.col("id").cast("bigint").alias("id"), F.col("current.temperature_2m").cast("double").alias("latitude"),
         F.get("daily.temperature_2m_max", F.lit(0)).cast("double").alias("longitude"),
     )
 
@@ -128,7 +130,8 @@ def q_rest_pages(spark, sf):
     orders = given(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     folder = store_pages(orders, "o_orderkey")
     register_paged_rest(spark, _open_stored_pages)
-    return page_rows(read_pages(spark, path=folder), orders.schema)
+    tasks = str(2 * spark.sparkContext.defaultParallelism)
+    return page_rows(read_pages(spark, path=folder, partitions=tasks), orders.schema)
 
 
 def q_rest_table(spark, sf):
@@ -279,7 +282,7 @@ def q_cluster_assign(spark, sf):
 def _kmeans_check(df: DataFrame, features: list[str]) -> DataFrame:
     """How many rows were assigned, to how many clusters, and how many of them to another than the nearest."""
     stored = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in features]), "kmeans-input")
-    model = cluster.fit_clusters(stored, features)
+    model = cluster.fit_clusters(stored, features, partitions=df.sparkSession.sparkContext.defaultParallelism)
     found = cluster.centres(model)
     to_centre = [sum(((F.col(c) - x) * (F.col(c) - x) for c, x in zip(features, centre)), F.lit(0.0)) for centre in found]
     own = F.get(F.array(*to_centre), F.col("prediction"))
@@ -411,7 +414,7 @@ def q_table_misfits(spark, sf):
 def q_stream_ingest(spark, sf):
     root = new_path(spark, "ingest")
     messages = stored_messages(spark, store_messages(event_messages(spark, sf)))
-    start_ingest(messages, root, f"{root}/progress", available_now=True).awaitTermination()
+    ingest_to_folder(messages, root, f"{root}/progress", available_now=True).awaitTermination()
     return read_folder(spark, root, "current").select(
         "locationID", F.date_format("time", MICROS).alias("time"), "temperature_2m", "shard"
     )

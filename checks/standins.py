@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.functions.geojson import KEEP_NULLS
+from obsframe.operators.envelope import encode_messages
 from obsframe.operators.position import with_position
-from obsframe.operators.shards import topic_of
-from obsframe.schemas import ROWS_PER_PAGE
+from obsframe.schemas import CURRENT_WIRE, ROWS_PER_PAGE
 from obsframe.workspace import new_path
 
 # lineitem as current readings.
@@ -72,10 +72,8 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
     days = F.sequence(F.lit(0), (F.col("o_orderkey") % 10).cast("int"))
     minute = "yyyy-MM-dd'T'HH:mm"
 
-    def day(i):
-        return F.col("o_orderdate") + F.make_dt_interval(i)
-
-    record = orders.select(
+    stamps = F.transform(days, lambda i: F.date_format(F.col("o_orderdate") + F.make_dt_interval(i), minute))
+    record = orders.withColumns({"_days": days, "_stamps": stamps}).select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", F.lit(1).alias("shard"),
         F.col("o_orderkey").alias("id"),
         F.struct(
@@ -84,13 +82,13 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
             (F.col("o_orderstatus") == "F").cast("int").alias("is_day"),
         ).alias("current"),
         F.struct(
-            F.transform(days, lambda i: F.date_format(day(i), "yyyy-MM-dd")).alias("time"),
-            F.transform(days, lambda i: F.col("o_totalprice") + i).alias("temperature_2m_max"),
-            F.transform(days, lambda i: F.col("o_totalprice") - i).alias("temperature_2m_min"),
-            F.transform(days, lambda i: i.cast("double")).alias("apparent_temperature_max"),
-            F.transform(days, lambda i: F.lit(None).cast("double")).alias("apparent_temperature_min"),
-            F.transform(days, lambda i: F.date_format(day(i), minute)).alias("sunrise"),
-            F.transform(F.slice(days, F.lit(1), F.size(days) - 1), lambda i: F.date_format(day(i), minute)).alias("sunset"),
+            F.transform("_stamps", lambda s: F.substring(s, 1, 10)).alias("time"),
+            F.transform("_days", lambda i: F.col("o_totalprice") + i).alias("temperature_2m_max"),
+            F.transform("_days", lambda i: F.col("o_totalprice") - i).alias("temperature_2m_min"),
+            F.col("_days").cast("array<double>").alias("apparent_temperature_max"),
+            F.transform("_days", lambda i: F.lit(None).cast("double")).alias("apparent_temperature_min"),
+            F.col("_stamps").alias("sunrise"),
+            F.slice("_stamps", F.lit(1), F.size("_stamps") - 1).alias("sunset"),
         ).alias("daily"),
     )
     return record
@@ -108,8 +106,6 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
             F.array(F.date_format("ts", "yyyy-MM-dd")).alias("time"), F.array("value").alias("temperature_2m_max")
         ).alias("daily"),
     )
-    from obsframe.operators.envelope import encode_messages
-
     return encode_messages(record)
 
 
@@ -129,8 +125,6 @@ def daily_wire(spark: SparkSession, folder: str) -> DataFrame:
 
 def current_wire(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem as untyped readings; the seventh line of an order has no number for its rain."""
-    from obsframe.schemas import CURRENT_WIRE
-
     wire = select(given(spark, folder, "lineitem"), READING, "l_suppkey", "l_shipdate", "l_linenumber")
     rain = F.when(F.col("l_linenumber") == 7, "n/a").otherwise(F.col("rain").cast("string"))
     return wire.withColumns({

@@ -31,18 +31,31 @@ def typed(df: DataFrame, kind: str) -> DataFrame:
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def fitted(df: DataFrame, field: T.StructField) -> Column:
+    """A column in the type of a stored field, NULL where it does not fit.
+
+    Numbers are compared with the bounds of the type first: a failing ``try_cast`` costs an exception per row.
+    """
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
+    value, source, target = F.col(field.name), df.schema[field.name].dataType, field.dataType
+    if isinstance(source, T.NumericType) and isinstance(target, T.DecimalType):
+        bound = 10 ** (target.precision - target.scale)
+        return F.when(F.abs(F.round(value, target.scale)) < bound, value.cast(target))
+    if isinstance(source, T.FractionalType) and isinstance(target, T.IntegerType):
+        return F.when((value > -(1 << 31) - 1) & (value < 1 << 31), value.cast(target))
+    return value.try_cast(target)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to the columns of a stored table, by name; absent columns are NULL."""
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
-        for f in schema
-    ])
+    return df.select(*[fitted(df, f).alias(f.name) for f in schema])
 
 
 def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in which :func:`conform` would lose a value, with the names of the columns that lose it."""
     lost = [
-        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        F.when(F.col(f.name).isNotNull() & fitted(df, f).isNull(), F.lit(f.name))
         for f in schema if f.name in df.columns
     ]
     return df.withColumn("misfit", F.array_compact(F.array(*lost))).where(F.size("misfit") > 0)

@@ -41,8 +41,12 @@ def incomplete(df: DataFrame, features: list[str]) -> DataFrame:
     return df.where(gap)
 
 
-def fit_clusters(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED, scale: bool = False) -> PipelineModel:
-    """Fit k-means. ``df`` is read once per iteration, so pass a stored table."""
+def fit_clusters(
+    df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED, scale: bool = False,
+    partitions: int | None = None,
+) -> PipelineModel:
+    """Fit k-means. Pass a stored table; ``partitions`` spreads an unevenly stored one once, before the
+    iterations."""
     require_columns(df, features)
     if k > MOST_CENTRES:
         raise ValueError(f"at most {MOST_CENTRES} clusters")
@@ -50,7 +54,8 @@ def fit_clusters(df: DataFrame, features: list[str], k: int = CLUSTERS, seed: in
     stages = [VectorAssembler(inputCols=features, outputCol=vector, handleInvalid="skip")]
     if scale:
         stages.append(StandardScaler(inputCol=vector, outputCol="features", withMean=True))
-    return Pipeline(stages=[*stages, KMeans(k=k, seed=seed)]).fit(df)
+    rows = df.select(*features)
+    return Pipeline(stages=[*stages, KMeans(k=k, seed=seed)]).fit(rows.repartition(partitions) if partitions else rows)
 
 
 def centres(model: PipelineModel) -> list[list[float]]:

@@ -26,17 +26,17 @@ def ranks(df: DataFrame, metrics: list[str]) -> DataFrame:
     """
     require_columns(df, metrics)
     numbers = df.select(*[F.col(m).cast("double").alias(m) for m in metrics]).dropna()
-    stored = materialize(numbers, "rank-input")
-    cells = stored.withColumn("_row", F.monotonically_increasing_id()).unpivot("_row", metrics, "metric", "value")
+    stored = materialize(numbers.withColumn("_row", F.monotonically_increasing_id()), "rank-input")
+    cells = stored.unpivot("_row", metrics, "metric", "value")
     counts = stored.unpivot([], metrics, "metric", "value").groupBy("metric", "value").count()
     ranked = materialize(
         running_total(counts, "metric", "value", "count", "below")
         .withColumn("rank", F.col("below") + (F.col("count") + 1) / 2),
         "ranks",
     )
-    rows = ranked.groupBy("metric").agg(F.sum("count").alias("n")).agg(F.max("n")).scalar()
-    hot = ranked.where(F.col("count") * HOT_SHARE > rows).select("metric", "value")
-    placed = lookup_join(cells, ranked.select("metric", "value", "rank"), ["metric", "value"], hot=hot)
+    rank_of = ["metric", "value", "rank"]
+    hot = ranked.where(F.col("count") * HOT_SHARE > stored.count()).select(*rank_of)
+    placed = lookup_join(cells, ranked.select(*rank_of), ["metric", "value"], hot_rows=hot, stored=True)
     return placed.groupBy("_row").agg(
         *[F.max(F.when(F.col("metric") == m, F.col("rank"))).alias(m) for m in metrics]
     ).drop("_row")

@@ -18,6 +18,15 @@ def encode_messages(records: DataFrame) -> DataFrame:
     )
 
 
+def tag_records(records: DataFrame) -> DataFrame:
+    """(topic, value) per (shard, id, record): the JSON object of the record with the id of its place added."""
+    inside = F.trim(F.regexp_replace("record", r"^\s*\{|\}\s*$", ""))
+    tagged = F.concat(
+        F.lit("{"), inside, F.when(inside != "", ",").otherwise(""), F.lit('"id":'), F.col("id").cast("string"), F.lit("}")
+    )
+    return records.select(topic_of(F.col("shard")).alias("topic"), tagged.cast("binary").alias("value"))
+
+
 def entries(messages: DataFrame, *keep: str) -> DataFrame:
     """One row (id, data) per top-level field of each message; nested values stay JSON text."""
     parsed = F.from_json(F.col("value").cast("string"), "map<string,string>")
@@ -25,9 +34,12 @@ def entries(messages: DataFrame, *keep: str) -> DataFrame:
 
 
 def parse_messages(messages: DataFrame, *keep: str) -> DataFrame:
-    """(id, current, daily) of each message; text that is no JSON object gives NULLs."""
+    """(id, current, daily) of each message; text that is no JSON object gives NULLs.
+
+    The parse is the input of a generator, so filters on its fields do not parse the text again.
+    """
     parsed = F.from_json(F.col("value").cast("string"), MESSAGE)
-    return messages.select(*keep, parsed.alias("m")).select(*keep, "m.*")
+    return messages.select(*keep, F.inline(F.array(parsed)))
 
 
 def valid_messages(parsed: DataFrame) -> DataFrame:

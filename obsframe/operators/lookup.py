@@ -30,25 +30,28 @@ def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
 
 
 def lookup_join(
-    facts: DataFrame, table: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None,
+    facts: DataFrame, table: DataFrame, on: list[str], how: str = "inner", hot_rows: DataFrame | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Join ``facts`` (``inner`` or ``left``) to a stored ``table`` with a bounded number of rows per key.
 
     A small table is broadcast. Beyond that only the rows of the hot keys are, as there are fewer than
-    HOT_SHARE such keys, and all other keys meet in a shuffle in which no key is large.
+    HOT_SHARE such keys, and all other keys meet in a shuffle in which no key is large. ``hot_rows`` are the
+    rows of the table for the hot keys, where the caller knows them; ``stored`` facts are not stored again.
     """
     if is_small(table):
         return facts.join(F.broadcast(table), on, how)
-    facts = materialize(facts, "lookup-facts")
+    if not stored:
+        facts = materialize(facts, "lookup-facts")
     if how == "inner" and is_small(facts):
         return table.join(F.broadcast(facts), on).select(
             *facts.columns, *[c for c in table.columns if c not in on]
         )
-    hot = materialize(hot_keys(facts, on) if hot is None else hot, "hot-keys")
-    hot_rows = materialize(table.join(F.broadcast(hot), on, "left_semi"), "hot-rows")
-    if not (is_small(hot) and is_small(hot_rows)):
+    if hot_rows is None:
+        hot_rows = table.join(F.broadcast(hot_keys(facts, on)), on, "left_semi")
+    hot_rows = materialize(hot_rows, "hot-rows")
+    if not is_small(hot_rows):
         return facts.join(table, on, how)
-    return (
-        facts.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_rows), on, how)
-        .unionByName(facts.join(F.broadcast(hot), on, "left_anti").join(table, on, how))
-    )
+    # A hot key without a row in the table is left to the shuffle, where it meets nothing.
+    rest = facts.join(F.broadcast(hot_rows.select(*on).distinct()), on, "left_anti")
+    return facts.join(F.broadcast(hot_rows), on).unionByName(rest.join(table, on, how))

@@ -1,6 +1,11 @@
 """Tables in a database. Address and credentials come from the caller."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from obsframe.functions.casts import conform
+from obsframe.operators.shards import SHARD_TABLES
+from obsframe.schemas import STORED
 
 # Driver classes by database.
 DRIVERS = {"mysql": "com.mysql.jdbc.Driver", "postgresql": "org.postgresql.Driver"}
@@ -20,3 +25,35 @@ def jdbc_options(url: str, table: str, user: str, password: str, connections: in
 
 def append_jdbc(df: DataFrame, url: str, table: str, user: str, password: str, **tuning: int) -> None:
     df.write.format("jdbc").options(**jdbc_options(url, table, user, password, **tuning)).mode("append").save()
+
+
+def shard_rows(rows: DataFrame, kind: str, shard: int) -> DataFrame:
+    """The rows of one shard, as its table holds them."""
+    return conform(rows.where(F.col("shard") == shard), STORED[kind])
+
+
+def jdbc_sink(url: str, user: str, password: str, **tuning: int):
+    """For :func:`streaming.ingest.start_ingest`: each shard to its own tables.
+
+    A batch that is tried again appends its forecasts again, as further versions of the same forecast.
+    """
+
+    def write(kind: str, rows: DataFrame, batch_id: int) -> None:
+        for shard, tables in SHARD_TABLES.items():
+            append_jdbc(shard_rows(rows, kind, shard), url, tables[kind], user, password, **tuning)
+
+    return write
+
+
+def jdbc_readings(url: str, user: str, password: str, **tuning: int):
+    """For :func:`streaming.ingest.start_ingest`: the keys both shards hold."""
+
+    def read(spark: SparkSession, batch_id: int) -> DataFrame:
+        keys = [
+            spark.read.format("jdbc").options(**jdbc_options(url, tables["current"], user, password, **tuning)).load()
+            .select(F.col("locationID").cast("bigint").alias("locationID"), "time", F.to_date("time").alias("day"))
+            for tables in SHARD_TABLES.values()
+        ]
+        return keys[0].unionByName(keys[1])
+
+    return read

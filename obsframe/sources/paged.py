@@ -16,7 +16,7 @@ from obsframe.schemas import ROWS_PER_PAGE, TABLES
 
 cloudpickle.register_pickle_by_value(obsframe)
 
-MOST_PARTITIONS = 10_000
+MOST_PARTITIONS = 200
 
 
 class PageTransport(Protocol):

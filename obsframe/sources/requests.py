@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import obsframe
 from obsframe.functions.text import point_text
-from obsframe.schemas import DAILY_VARIABLES, LOCATIONS_PER_REQUEST, MESSAGE, PROFILES, TIMEZONE
+from obsframe.schemas import DAILY_VARIABLES, LOCATIONS_PER_REQUEST, PROFILES, TIMEZONE
 
 # Tasks get the code of this package with the query, so executors need no copy of it.
 cloudpickle.register_pickle_by_value(obsframe)
@@ -81,13 +81,12 @@ def failed(responses: DataFrame) -> DataFrame:
 
 
 def records(responses: DataFrame) -> DataFrame:
-    """(shard, id, current, daily) per place of the successful responses, whose body is a list in request order."""
-    listed = F.from_json("body", f"array<struct<{_fields()}>>")
+    """(shard, id, record) per place of the successful responses, whose body is a list in request order.
+
+    The record stays the JSON text that was received, so no field of it is lost.
+    """
+    listed = F.from_json("body", "array<string>")
     return (
         succeeded(responses).select("shard", "ids", F.posexplode(listed).alias("at", "record"))
-        .select("shard", F.get("ids", F.col("at")).alias("id"), "record.current", "record.daily")
+        .select("shard", F.get("ids", F.col("at")).alias("id"), "record")
     )
-
-
-def _fields() -> str:
-    return ",".join(f"{n}:{MESSAGE[n].dataType.simpleString()}" for n in ("current", "daily"))

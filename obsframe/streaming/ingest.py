@@ -13,8 +13,10 @@ from obsframe.operators.versions import latest
 
 KEY = ["locationID", "time"]
 
-# Writes the rows of one batch to the named table; must replace what an earlier try of the batch wrote.
+# Writes the rows of one batch to the table of the given name.
 Sink = Callable[[str, DataFrame, int], None]
+# Reads the stored readings that a batch is compared with: at least (locationID, time, day), or None.
+Stored = Callable[[SparkSession, int], DataFrame | None]
 
 
 def with_shard(messages: DataFrame) -> DataFrame:
@@ -30,6 +32,18 @@ def folder_sink(root: str) -> Sink:
     return write
 
 
+def folder_readings(root: str) -> Stored:
+    """The readings under ``root`` that other batches stored."""
+
+    def read(spark: SparkSession, batch_id: int) -> DataFrame | None:
+        try:
+            return read_folder(spark, root, "current").where(F.col("batch_id") != batch_id)
+        except AnalysisException:  # nothing stored yet
+            return None
+
+    return read
+
+
 def read_folder(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}/batch_id=*")
 
@@ -48,25 +62,21 @@ def unseen(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
 
 
 def start_ingest(
-    messages: DataFrame, root: str, checkpoint: str, sink: Sink | None = None, available_now: bool = False,
+    messages: DataFrame, checkpoint: str, write: Sink, stored: Stored, available_now: bool = False,
 ) -> StreamingQuery:
     """Store each message's reading in ``current``, once per place and time, and its forecasts in ``daily``.
 
-    A batch that is tried again after a failure replaces its own rows, so neither table gets a row twice.
+    With :func:`folder_sink`, a batch that is tried again after a failure replaces its own rows, so neither
+    table gets a row twice.
     """
-    write = sink or folder_sink(root)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
         parsed = valid_messages(parse_messages(with_shard(batch), "shard")).persist()
         try:
-            try:
-                stored = read_folder(spark, root, "current").where(F.col("batch_id") != batch_id)
-            except AnalysisException:  # nothing stored yet
-                stored = None
-            write("current", unseen(with_day(current_rows(parsed, "shard")), stored), batch_id)
+            known = stored(batch.sparkSession, batch_id)
+            write("current", unseen(with_day(current_rows(parsed, "shard")), known), batch_id)
             created = F.current_timestamp().alias("time_created")
             write("daily", with_day(forecast_rows(parsed, "shard")).select("*", created), batch_id)
         finally:
@@ -78,6 +88,10 @@ def start_ingest(
     return writer.start()
 
 
+def ingest_to_folder(messages: DataFrame, root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    return start_ingest(messages, checkpoint, folder_sink(root), folder_readings(root), available_now)
+
+
 def distinct_readings(stream: DataFrame, keys: list[str] = KEY, delay: str = "1 hour", time: str = "time") -> DataFrame:
     """Drop readings that repeat within ``delay``; the state kept is bounded by the watermark."""
     stamped = stream.withColumn(time, F.col(time).cast("timestamp"))
