@@ -62,10 +62,13 @@ def current_rows(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def forecast_rows(parsed: DataFrame, *keep: str, days: int = FORECAST_DAYS) -> DataFrame:
-    """One row per forecast day, up to ``days``; where an array is shorter than another its column is NULL."""
-    zipped = F.arrays_zip(F.col("daily.time"), *[F.col(f"daily.{v}") for v in DAILY_VARIABLES])
+    """One row per forecast day, up to ``days``; where an array is absent or shorter than another its column is
+    NULL."""
+    arrays = [F.coalesce(f"daily.{v}", F.array().cast("array<string>")).alias(v) for v in ("time", *DAILY_VARIABLES)]
+    zipped = F.arrays_zip("time", *DAILY_VARIABLES)
     return (
-        parsed.select(*keep, F.col("id").try_cast("bigint").alias("locationID"), F.inline(F.slice(zipped, 1, days)))
+        parsed.select(*keep, F.col("id").try_cast("bigint").alias("locationID"), *arrays)
+        .select(*keep, "locationID", F.inline(F.slice(zipped, 1, days)))
         .select(
             *keep, "locationID", F.col("time").try_cast("timestamp").alias("time"),
             *[F.col(t).try_cast("double").alias(t) for t in DAILY_TEMPERATURES],

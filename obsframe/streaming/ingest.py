@@ -2,17 +2,32 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from obsframe.operators.envelope import current_rows, forecast_rows, parse_messages, valid_messages
 from obsframe.operators.shards import shard_of
 from obsframe.operators.versions import latest
+from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES, struct
 
 KEY = ["locationID", "time"]
 
+_long, _double, _time = T.LongType(), T.DoubleType(), T.TimestampType()
+_folders = {"batch_id": _long, "shard": T.IntegerType(), "day": T.DateType()}
+STORED_ROWS = {
+    "current": struct(
+        locationID=_long, time=_time,
+        **{m: T.IntegerType() if m == "is_day" else _double for m in CASUAL_METRICS}, **_folders,
+    ),
+    "daily": struct(
+        locationID=_long, time=_time, **{t: _double for t in DAILY_TEMPERATURES}, sunrise=_time, sunset=_time,
+        time_created=_time, **_folders,
+    ),
+}
+
 # Writes the rows of one batch to the table of the given name.
 Sink = Callable[[str, DataFrame, int], None]
 # Reads the stored readings that a batch is compared with: at least (locationID, time, day), or None.
@@ -38,14 +53,17 @@ def folder_readings(root: str) -> Stored:
     def read(spark: SparkSession, batch_id: int) -> DataFrame | None:
         try:
             return read_folder(spark, root, "current").where(F.col("batch_id") != batch_id)
-        except AnalysisException:  # nothing stored yet
-            return None
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # nothing stored yet
+                return None
+            raise
 
     return read
 
 
 def read_folder(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}/batch_id=*")
+    reader = spark.read.schema(STORED_ROWS[table]).option("basePath", f"{root}/{table}")
+    return reader.parquet(f"{root}/{table}/batch_id=*")
 
 
 def with_day(rows: DataFrame) -> DataFrame:
