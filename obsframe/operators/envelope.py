@@ -9,11 +9,12 @@ from obsframe.operators.shards import topic_of
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES, DAILY_VARIABLES, FORECAST_DAYS, MESSAGE
 
 
-def encode_messages(records: DataFrame) -> DataFrame:
-    """(topic, value) per record; ``shard`` picks the topic and every other column goes into the message."""
+def encode_messages(records: DataFrame, topic: str | None = None) -> DataFrame:
+    """(topic, value) per record; ``shard`` picks the topic, where none is given, and every other column goes
+    into the message."""
     fields = [c for c in records.columns if c != "shard"]
     return records.select(
-        topic_of(F.col("shard")).alias("topic"),
+        (topic_of(F.col("shard")) if topic is None else F.lit(topic)).alias("topic"),
         F.to_json(F.struct(*fields), KEEP_NULLS).cast("binary").alias("value"),
     )
 

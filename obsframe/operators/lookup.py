@@ -2,19 +2,25 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsframe.workspace import materialize
 
-# Rows below which a side is broadcast: at most about 30 MB for the tables here, whose text columns hold
-# up to 255 characters.
+# A side is broadcast up to so many rows, whose columns of no fixed width take up so many bytes.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 << 20
 # A key is hot when it holds more than one row in HOT_SHARE, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1_000
 
 
 def is_small(df: DataFrame) -> bool:
     """Counted, not estimated. Pass a stored table: its count comes from the file footers."""
-    return df.count() <= BROADCAST_ROWS
+    if df.count() > BROADCAST_ROWS:
+        return False
+    wide = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    if not wide:
+        return True
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct(*wide))))).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def sized_join(facts: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

@@ -1,5 +1,6 @@
 """The analytics of one run."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -79,6 +80,12 @@ def run_once(
     return Result(first.tables | second.tables, first.skipped | second.skipped)
 
 
+def store_result(result: Result, write: Callable[[str, DataFrame], None]) -> None:
+    """Append each table of a run with ``write(name, rows)``."""
+    for name, rows in result.tables.items():
+        write(name, rows)
+
+
 def run_from_source(spark: SparkSession, gazetteer: DataFrame, run_time: datetime | None = None, **options: str) -> Result:
     """:func:`run_once` over the five tables of the registered ``paged_rest`` source."""
     def both(kind: str) -> DataFrame:

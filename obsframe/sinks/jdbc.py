@@ -27,6 +27,11 @@ def append_jdbc(df: DataFrame, url: str, table: str, user: str, password: str, *
     df.write.format("jdbc").options(**jdbc_options(url, table, user, password, **tuning)).mode("append").save()
 
 
+def append_to(url: str, user: str, password: str, **tuning: int):
+    """A writer for ``plans.jobs.store_result``: a database table each."""
+    return lambda name, rows: append_jdbc(rows, url, name, user, password, **tuning)
+
+
 def shard_rows(rows: DataFrame, kind: str, shard: int) -> DataFrame:
     """The rows of one shard, as its table holds them."""
     return conform(rows.where(F.col("shard") == shard), STORED[kind])

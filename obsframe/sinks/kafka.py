@@ -3,16 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from obsframe.operators.envelope import encode_messages
 
+def send_messages(messages: DataFrame, servers: str) -> None:
+    """Send (topic, value) rows, as of ``operators.envelope.encode_messages`` or ``tag_records``."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
-def send_messages(records: DataFrame, servers: str) -> None:
-    """One message per record, to the topic of its shard."""
-    encode_messages(records).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
-
-def stream_messages(records: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:
+def stream_messages(messages: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:
     return (
-        encode_messages(records).writeStream.format("kafka")
+        messages.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers).option("checkpointLocation", checkpoint).start()
     )

@@ -47,5 +47,10 @@ def insert_locations(new: DataFrame, table: str) -> None:
     insert_rows(fresh, table, "locations")
 
 
+def append_to(folder: str):
+    """A writer for ``plans.jobs.store_result``: a folder per table."""
+    return lambda name, rows: rows.write.mode("append").parquet(f"{folder}/{name}")
+
+
 def append_by_shard(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("shard").parquet(path)

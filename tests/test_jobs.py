@@ -8,8 +8,9 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from obsframe.plans.jobs import run_from_source
+from obsframe.plans.jobs import run_from_source, store_result
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES
+from obsframe.sinks.tables import append_to
 from obsframe.sources.paged import register_paged_rest
 
 PLACES = 24
@@ -91,6 +92,14 @@ def test_current_summary(result):
     assert result.skipped["current"].count() == 1 and result.skipped["daily"].count() == 0
 
 
+def test_results_are_stored(spark, result, tmp_path):
+    for _ in range(2):
+        store_result(result, append_to(str(tmp_path)))
+    assert spark.read.parquet(f"{tmp_path}/current_correlation").count() == 722
+    assert spark.read.parquet(f"{tmp_path}/daily_geojson").columns == ["time", "geojson"]
+    assert spark.read.parquet(f"{tmp_path}/current_summary").count() == 2 * result.tables["current_summary"].count()
+
+
 def test_current_correlation(result):
     rows = {(r.matrix_x, r.matrix_y): r for r in result.tables["current_correlation"].collect()}
     assert len(rows) == 361 and {r.time for r in rows.values()} == {"2024-05-01 12:00:00"}

@@ -46,6 +46,13 @@ def test_lookup_join_small_facts(spark, nothing_small):
     ]
 
 
+def test_wide_rows_are_not_small(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "x" * 2000)], "k int, t string")
+    assert lookup.is_small(df)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 1000)
+    assert not lookup.is_small(df) and lookup.is_small(df.select("k"))
+
+
 def test_hot_keys_are_few(spark):
     assert {r.key for r in hot_keys(facts_with_hot_key(spark), ["key"]).where("key in (7, -8)").collect()} == {7, -8}
 

@@ -143,7 +143,7 @@ def test_database_and_broker_options(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_messages(spark, "h:1")
     with pytest.raises(Exception, match="(?i)kafka"):
-        send_messages(spark.createDataFrame([(1, 2)], "shard int, id int"), "h:1")
+        send_messages(encode_messages(spark.createDataFrame([(2,)], "id int"), "weather"), "h:1")
     rows = spark.createDataFrame([(1, 5), (2, 6)], "shard int, locationID long")
     assert [r.locationID for r in shard_rows(rows, "current", 2).collect()] == [6]
     assert shard_rows(rows, "current", 2).schema == CURRENT_TABLE
