@@ -1,19 +1,14 @@
 """Nearest-place join: exact, by equality joins on grid cells."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.operators.lookup import lookup_join
 from obsframe.workspace import materialize
 
-LEAF_PLACES = 64       # cells are split until none holds more distinct spots than this
-TOP_CELLS_LOG2 = 10    # the coarsest grid has at most 2**10 cells
-STEP_BITS = 2          # a finer grid halves each side this many times
-MOST_BITS = 26
-
-
-def _square(c: Column) -> Column:
-    return c * c
+LEAF_PLACES = 64   # cells are split until none holds more distinct spots than this
+STEP_BITS = 3      # a level's cells have 2**STEP_BITS of the next level's along each axis
+MOST_BITS = 27
 
 
 def _sum(terms: list[Column]) -> Column:
@@ -23,26 +18,89 @@ def _sum(terms: list[Column]) -> Column:
     return total
 
 
-def _at_least(box, axes: list[str]) -> Column:
+def _at_least(axes: list[str]) -> Column:
     """Squared distance to the box. Never above the distance to a spot in it, also after rounding."""
-    return _sum([
-        _square(F.greatest(box(f"lo_{a}") - F.col(a), F.col(a) - box(f"hi_{a}"), F.lit(0.0))) for a in axes
-    ])
+    gaps = [F.greatest(F.col(f"lo_{a}") - F.col(a), F.col(a) - F.col(f"hi_{a}"), F.lit(0.0)) for a in axes]
+    return _sum([g * g for g in gaps])
 
 
-def _at_most(box, axes: list[str]) -> Column:
+def _at_most(axes: list[str]) -> Column:
     """Squared distance to the far corner of the box."""
-    return _sum([
-        _square(F.greatest(F.abs(F.col(a) - box(f"lo_{a}")), F.abs(F.col(a) - box(f"hi_{a}")))) for a in axes
-    ])
-
-
-def _cells(axes: list[str], bits: int, by: int = MOST_BITS) -> list[Column]:
-    return [F.shiftright(F.col(f"cell_{a}"), by - bits).alias(f"cell_{a}") for a in axes]
-
+    spans = [F.greatest(F.abs(F.col(a) - F.col(f"lo_{a}")), F.abs(F.col(a) - F.col(f"hi_{a}"))) for a in axes]
+    return _sum([s * s for s in spans])
+
+
+class _Grid:
+    """Bounding boxes of the places at each level of a grid whose levels refine one another."""
+
+    def __init__(self, spots: DataFrame, axes: list[str]):
+        self.axes = axes
+        self.cells = [f"cell_{a}" for a in axes]
+        self.up = [f"up_{a}" for a in axes]
+        extent = spots.agg(*[F.min(a).alias(f"lo_{a}") for a in axes], *[F.max(a).alias(f"hi_{a}") for a in axes]).first()
+        self.empty = extent[f"lo_{axes[0]}"] is None
+        if self.empty:
+            return
+        self.spots = materialize(spots.withColumns({c: self._cell(a, extent) for c, a in zip(self.cells, axes)}), "spots")
+        self.bits = STEP_BITS
+        while self._fullest() > LEAF_PLACES and self.bits < MOST_BITS:
+            self.bits += STEP_BITS
+        low, high = [F.min(a).alias(f"lo_{a}") for a in axes], [F.max(a).alias(f"hi_{a}") for a in axes]
+        table = materialize(self.spots.groupBy(*self._coarser(MOST_BITS - self.bits)).agg(*low, *high), "boxes")
+        self.levels = [self._under_parents(table)]
+        low, high = [F.min(f"lo_{a}").alias(f"lo_{a}") for a in axes], [F.max(f"hi_{a}").alias(f"hi_{a}") for a in axes]
+        for _ in range(self.bits // STEP_BITS - 1):
+            table = materialize(table.groupBy(*self._coarser(STEP_BITS)).agg(*low, *high), "boxes")
+            self.levels.insert(0, self._under_parents(table))
+
+    def _cell(self, axis: str, extent) -> Column:
+        low, high = extent[f"lo_{axis}"], extent[f"hi_{axis}"]
+        if low == high:
+            return F.lit(0).cast("long")
+        steps = F.floor((F.col(axis) - low) / (high - low) * float(1 << MOST_BITS))
+        return F.least(steps, F.lit((1 << MOST_BITS) - 1)).cast("long")
+
+    def _coarser(self, bits: int) -> list[Column]:
+        return [F.shiftright(c, bits).alias(c) for c in self.cells]
+
+    def _fullest(self) -> int:
+        return self.spots.groupBy(*self._coarser(MOST_BITS - self.bits)).count().agg(F.max("count")).first()[0]
+
+    def _under_parents(self, table: DataFrame) -> DataFrame:
+        """Each box with its parent's cell and its number among the parent's."""
+        mask = F.lit((1 << STEP_BITS) - 1)
+        number = _sum([F.shiftleft(F.col(c).bitwiseAND(mask), STEP_BITS * i) for i, c in enumerate(self.cells)])
+        return table.withColumns({
+            **{u: F.shiftright(c, STEP_BITS) for u, c in zip(self.up, self.cells)}, "child": number,
+        })
+
+    def at_top(self, points: DataFrame) -> DataFrame:
+        return points.withColumns({u: F.lit(0).cast("long") for u in self.up})
+
+    def down(self, points: DataFrame, *keep: str) -> DataFrame:
+        """Make the cells of a level the parents of the next."""
+        return points.select(*self.axes, *keep, *[F.col(c).alias(u) for u, c in zip(self.up, self.cells)])
+
+    def guess(self, points: DataFrame, table: DataFrame) -> DataFrame:
+        """Of the boxes under each point's parent, the one whose far corner is nearest."""
+        best = lookup_join(points, table, self.up).groupBy(*self.axes, *self.up).agg(F.min_by("child", _at_most(self.axes)).alias("child"))
+        mask = F.lit((1 << STEP_BITS) - 1)
+        return best.select(*self.axes, *[
+            (F.shiftleft(u, STEP_BITS) + F.shiftright("child", STEP_BITS * i).bitwiseAND(mask)).alias(c)
+            for i, (u, c) in enumerate(zip(self.up, self.cells))
+        ])
+
+    def within(self, points: DataFrame, table: DataFrame) -> DataFrame:
+        """All boxes under the parents that come within each point's reach."""
+        return lookup_join(points, table, self.up).where(_at_least(self.axes) <= F.col("reach")).select(
+            *self.axes, "reach", *self.cells
+        )
 
-def _boxes(low: list[Column], high: list[Column]) -> list[Column]:
-    return [F.min(c) for c in low] + [F.max(c) for c in high]
+    def candidates(self, points: DataFrame, key: str) -> DataFrame:
+        """The spots of the cells of each point, with their distance."""
+        leaf = self.spots.select(*self._coarser(MOST_BITS - self.bits), *[F.col(a).alias(f"at_{a}") for a in self.axes], key)
+        gaps = [F.col(a) - F.col(f"at_{a}") for a in self.axes]
+        return lookup_join(points, leaf, self.cells).withColumn("squared", _sum([g * g for g in gaps]))
 
 
 def nearest_join(
@@ -50,86 +108,35 @@ def nearest_join(
 ) -> DataFrame:
     """Add to each query the nearest place by Euclidean distance over ``axes``; the smallest ``key`` wins ties.
 
-    Both sides have the columns ``axes``; ``key`` is unique in ``places``. The distinct query points walk down
-    a grid over the places. At each level a point keeps the cells that may hold its nearest place: those
-    whose bounding box is not farther than the far corner of some other cell's box. So no pairs are formed
-    but those of points with the few cells around them, and dense regions only add levels.
+    Both sides have the columns ``axes``; ``key`` is unique in ``places``. Each distinct query point walks down a
+    grid over the places twice. First it follows one promising cell per level to some place, whose distance
+    is its reach. Then it follows all cells within reach, and takes the nearest of the places it ends up
+    with. So points meet only the few cells around them, and dense regions only add levels.
     Without any place the added columns are NULL.
     """
-    spots = places.dropna(subset=axes).groupBy(*axes).agg(F.min(key).alias(key))
-    extent = spots.agg(*[F.min(a).alias(f"lo_{a}") for a in axes], *[F.max(a).alias(f"hi_{a}") for a in axes]).first()
-    if extent[f"lo_{axes[0]}"] is None:
+    grid = _Grid(places.dropna(subset=axes).groupBy(*axes).agg(F.min(key).alias(key)), axes)
+    if grid.empty:
         schema = {f.name: f.dataType for f in places.schema}
         return queries.select(
             "*", *[F.lit(None).cast(schema[c]).alias(c) for c in (key, *carry)], F.lit(None).cast("double").alias(squared)
         )
 
-    def cell(axis: str) -> Column:
-        low, high = extent[f"lo_{axis}"], extent[f"hi_{axis}"]
-        if low == high:
-            return F.lit(0).cast("long")
-        steps = (F.col(axis) - low) / (high - low) * float(1 << MOST_BITS)
-        return F.least(F.floor(steps), F.lit((1 << MOST_BITS) - 1)).cast("long")
-
-    spots = materialize(spots.withColumns({f"cell_{a}": cell(a) for a in axes}), "spots")
-
-    bits = TOP_CELLS_LOG2 // len(axes)
-    levels = [bits]
-    while bits < MOST_BITS:
-        fullest = spots.groupBy(*_cells(axes, bits)).count().agg(F.max("count")).first()[0]
-        if fullest <= LEAF_PLACES:
-            break
-        bits = min(bits + STEP_BITS, MOST_BITS)
-        levels.append(bits)
-    leaf = levels[-1]
-
-    cell_names = [f"cell_{a}" for a in axes]
-    names = [f"lo_{a}" for a in axes] + [f"hi_{a}" for a in axes]
-    spot_columns = [F.col(a) for a in axes]
-    boxes = spots.groupBy(*_cells(axes, leaf)).agg(
-        *[b.alias(n) for b, n in zip(_boxes(spot_columns, spot_columns), names)]
-    )
-    if len(levels) > 1:
-        boxes = materialize(boxes, "boxes")
-
-    def boxes_at(level: int) -> DataFrame:
-        if level == leaf:
-            return boxes
-        lows, highs = [F.col(f"lo_{a}") for a in axes], [F.col(f"hi_{a}") for a in axes]
-        return boxes.groupBy(*_cells(axes, level, leaf)).agg(*[b.alias(n) for b, n in zip(_boxes(lows, highs), names)])
-
-    # The top grid is one array of at most 2**TOP_CELLS_LOG2 boxes, next to each distinct query point.
-    top = boxes_at(levels[0]).agg(F.collect_list(F.struct(*cell_names, *names))).scalar()
-    points = queries.select(*axes).dropna().distinct()
-    frontier = (
-        points.withColumn("_top", top)
-        .withColumn("_reach", F.array_min(F.transform("_top", lambda b: _at_most(lambda n: b[n], axes))))
-        .select(*axes, F.explode(F.filter("_top", lambda b: _at_least(lambda n: b[n], axes) <= F.col("_reach"))).alias("b"))
-        .select(*axes, *[F.col(f"b.{c}") for c in cell_names])
-    )
-    up = [f"up_{c}" for c in cell_names]
-    for above, level in zip(levels, levels[1:]):
-        children = boxes_at(level).withColumns(
-            {u: F.shiftright(F.col(c), level - above) for u, c in zip(up, cell_names)}
-        )
-        parents = frontier.select(*axes, *[F.col(c).alias(u) for u, c in zip(up, cell_names)])
-        reach = F.min(_at_most(F.col, axes)).over(Window.partitionBy(*axes))
-        frontier = (
-            lookup_join(parents, children, up)
-            .withColumn("_reach", reach).where(_at_least(F.col, axes) <= F.col("_reach"))
-            .select(*axes, *cell_names)
-        )
+    points = grid.at_top(queries.select(*axes).dropna().distinct())
+    for table in grid.levels:
+        points = grid.down(cells := grid.guess(points, table))
+    reached = grid.candidates(cells, key).groupBy(*axes).agg(F.min("squared").alias("reach"))
 
-    targets = spots.select(*_cells(axes, leaf), *[F.col(a).alias(f"at_{a}") for a in axes], key)
-    distance = _sum([_square(F.col(a) - F.col(f"at_{a}")) for a in axes])
+    points = grid.at_top(materialize(reached, "reach"))
+    for table in grid.levels:
+        points = grid.down(cells := grid.within(points, table), "reach")
     winners = (
-        lookup_join(frontier, targets, cell_names)
-        .groupBy(*axes).agg(F.min(F.struct(distance.alias(squared), F.col(key))).alias("_best"))
-        .select(*axes, f"_best.{key}", f"_best.{squared}")
+        grid.candidates(cells, key).where(F.col("squared") <= F.col("reach"))
+        .groupBy(*axes).agg(F.min(F.struct("squared", key)).alias("best"))
+        .select(*axes, f"best.{key}", F.col("best.squared").alias(squared))
     )
-    if carry:
-        winners = lookup_join(winners, places.select(key, *carry), [key])
     winners = materialize(winners, "nearest")
+    if carry:
+        winners = materialize(lookup_join(winners, places.select(key, *carry), [key]), "nearest")
     return lookup_join(queries, winners, axes, "left")
 
 
