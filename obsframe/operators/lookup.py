@@ -29,10 +29,8 @@ def sized_join(facts: DataFrame, table: DataFrame, on: list[str], how: str = "in
 
 
 def hot_keys(facts: DataFrame, on: list[str]) -> DataFrame:
-    """Keys that hold more than 1 / HOT_SHARE of the rows; counts are combined before the shuffle."""
-    counts = materialize(facts.groupBy(*on).count(), "key-counts")
-    total = counts.agg(F.sum("count")).scalar()
-    return counts.where(F.col("count") * HOT_SHARE > total).select(*on)
+    """Keys that hold more than 1 / HOT_SHARE of the (stored) rows; counts are combined before the shuffle."""
+    return facts.groupBy(*on).count().where(F.col("count") * HOT_SHARE > facts.count()).select(*on)
 
 
 def lookup_join(

@@ -1,5 +1,7 @@
 """Tables in a database. Address and credentials come from the caller."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,14 +53,18 @@ def jdbc_sink(url: str, user: str, password: str, **tuning: int):
 
 
 def jdbc_readings(url: str, user: str, password: str, **tuning: int):
-    """For :func:`streaming.ingest.start_ingest`: the keys both shards hold."""
+    """For :func:`streaming.ingest.start_ingest`: the keys both shards hold, from the first to the last of the
+    given days."""
 
-    def read(spark: SparkSession, batch_id: int) -> DataFrame:
-        keys = [
+    def read(spark: SparkSession, batch_id: int, days: list[date] | None) -> DataFrame:
+        first, second = [
             spark.read.format("jdbc").options(**jdbc_options(url, tables["current"], user, password, **tuning)).load()
-            .select(F.col("locationID").cast("bigint").alias("locationID"), "time", F.to_date("time").alias("day"))
+            .select(F.col("locationID").cast("bigint").alias("locationID"), "time")
             for tables in SHARD_TABLES.values()
         ]
-        return keys[0].unionByName(keys[1])
+        both = first.unionByName(second)
+        if not days:
+            return both
+        return both.where((F.col("time") >= F.lit(min(days))) & (F.col("time") < F.lit(max(days) + timedelta(days=1))))
 
     return read

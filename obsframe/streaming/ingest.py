@@ -1,6 +1,7 @@
 """From message streams to stored current and forecast rows."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,10 @@ STORED_ROWS = {
 
 # Writes the rows of one batch to the table of the given name.
 Sink = Callable[[str, DataFrame, int], None]
-# Reads the stored readings that a batch is compared with: at least (locationID, time, day), or None.
-Stored = Callable[[SparkSession, int], DataFrame | None]
+# Reads (locationID, time) of the readings that other batches stored for the given days, or for all days.
+Stored = Callable[[SparkSession, int, list[date] | None], DataFrame | None]
+# Batches with readings of more days than this are compared with all stored readings.
+MOST_DAYS = 1_000
 
 
 def with_shard(messages: DataFrame) -> DataFrame:
@@ -39,20 +42,22 @@ def with_shard(messages: DataFrame) -> DataFrame:
 
 
 def folder_sink(root: str) -> Sink:
-    """A folder per table and batch, overwritten when the batch is tried again."""
+    """A folder per table, day, batch and shard; those of a batch are overwritten when it is tried again."""
 
     def write(table: str, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").partitionBy("shard", "day").parquet(f"{root}/{table}/batch_id={batch_id}")
+        marked = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day", "batch_id", "shard").parquet(f"{root}/{table}")
 
     return write
 
 
 def folder_readings(root: str) -> Stored:
-    """The readings under ``root`` that other batches stored."""
+    """The readings under ``root``; folders of other days are not even listed."""
 
-    def read(spark: SparkSession, batch_id: int) -> DataFrame | None:
+    def read(spark: SparkSession, batch_id: int, days: list[date] | None) -> DataFrame | None:
         try:
-            return read_folder(spark, root, "current").where(F.col("batch_id") != batch_id)
+            return read_folder(spark, root, "current", days).where(F.col("batch_id") != batch_id).select(*KEY)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":  # nothing stored yet
                 return None
@@ -61,22 +66,26 @@ def folder_readings(root: str) -> Stored:
     return read
 
 
-def read_folder(spark: SparkSession, root: str, table: str) -> DataFrame:
+def read_folder(spark: SparkSession, root: str, table: str, days: list[date] | None = None) -> DataFrame:
+    chosen = "*" if days is None else f"{{{','.join(str(d) for d in days)}}}"
     reader = spark.read.schema(STORED_ROWS[table]).option("basePath", f"{root}/{table}")
-    return reader.parquet(f"{root}/{table}/batch_id=*")
+    return reader.parquet(f"{root}/{table}/day={chosen}")
 
 
 def with_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn("day", F.to_date("time"))
 
 
+def days_of(rows: DataFrame) -> list[date] | None:
+    """The days of a batch; None if there are too many to name."""
+    days = [r.day for r in rows.select("day").dropna().distinct().limit(MOST_DAYS + 1).collect()]
+    return days if len(days) <= MOST_DAYS else None
+
+
 def unseen(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """One row per (locationID, time), none that is stored. Only stored days that occur in ``rows`` are read."""
+    """One row per (locationID, time), none that is stored."""
     once = latest(rows, KEY, [F.col(c) for c in rows.columns if c not in KEY])
-    if stored is None:
-        return once
-    days = rows.select("day").distinct()
-    return once.join(stored.join(days, "day", "left_semi").select(*KEY), KEY, "left_anti")
+    return once if stored is None else once.join(stored, KEY, "left_anti")
 
 
 def start_ingest(
@@ -93,8 +102,10 @@ def start_ingest(
             return
         parsed = valid_messages(parse_messages(with_shard(batch), "shard")).persist()
         try:
-            known = stored(batch.sparkSession, batch_id)
-            write("current", unseen(with_day(current_rows(parsed, "shard")), known), batch_id)
+            readings = with_day(current_rows(parsed, "shard"))
+            days = days_of(readings)
+            known = None if days == [] else stored(batch.sparkSession, batch_id, days)
+            write("current", unseen(readings, known), batch_id)
             created = F.current_timestamp().alias("time_created")
             write("daily", with_day(forecast_rows(parsed, "shard")).select("*", created), batch_id)
         finally:

@@ -2,6 +2,7 @@
 
 import json
 import sys
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -21,16 +22,18 @@ from obsframe.sources.paged import page_rows, plan_pages, read_pages, read_table
 from obsframe.sources.requests import REQUEST_COLUMNS
 from obsframe.sources.streams import kafka_messages, kafka_options, stored_messages
 from obsframe.sources.transports import StoredPages
-from obsframe.streaming.ingest import distinct_readings, ingest_to_folder, read_folder
+from obsframe.streaming.ingest import (
+    days_of, distinct_readings, folder_readings, ingest_to_folder, read_folder, start_ingest,
+)
 from obsframe.workspace import shared_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def test_location_file(spark, tmp_path):
-    (tmp_path / "g.csv").write_text('Name,Latitude,Longitude,Address,id\n"Ba, Dinh",21.03,105.83,"12 ""A"", Hanoi",1\nX,north,1,,x\n')
+    (tmp_path / "g.csv").write_text('Name,Latitude,Longitude,Address,id\n"Hill, North",21.03,105.83,"12 ""A"", Town",1\nX,north,1,,x\n')
     rows = read_locations(spark, str(tmp_path / "g.csv")).orderBy(F.desc("id")).collect()
-    assert tuple(rows[0]) == ("Ba, Dinh", 21.03, 105.83, '12 "A", Hanoi', 1)
+    assert tuple(rows[0]) == ("Hill, North", 21.03, 105.83, '12 "A", Town', 1)
     assert tuple(rows[1]) == ("X", None, 1.0, None, None)
 
 
@@ -191,6 +194,33 @@ def test_ingest_of_bad_messages_only(spark, tmp_path):
     ingest_to_folder(stream, root, f"{root}/progress", available_now=True).awaitTermination()
     put(spark, folder, (1, 1, "2024-05-01T10:15", 20.0))
     assert ingest(spark, folder, root)[0] == [(1, 1, "2024-05-01 10:15", 20.0)]
+    put(spark, folder, (1, 4, "some time", 20.0))
+    assert ingest(spark, folder, root)[0] == [(1, 1, "2024-05-01 10:15", 20.0), (1, 4, "None", 20.0)]
+
+
+def test_only_days_of_the_batch_are_listed(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "out")
+    put(spark, folder, *[(1, 1, f"2024-05-0{d}T10:15", 20.0) for d in range(1, 6)])
+    ingest(spark, folder, root)
+    days = [date(2024, 5, 2), date(2024, 5, 4), date(1999, 1, 1)]
+    assert len(read_folder(spark, root, "current", days).inputFiles()) == 2
+    known = folder_readings(root)
+    assert known(spark, 7, days).count() == 2 and known(spark, 0, days).count() == 0
+    assert known(spark, 7, [date(1999, 1, 1)]) is None and known(spark, 7, None).count() == 5
+    assert days_of(read_folder(spark, root, "current").where("day < '2024-05-02'")) == [date(2024, 5, 1)]
+
+
+def test_ingest_with_other_sinks(spark, tmp_path):
+    folder, written, asked = str(tmp_path / "in"), [], []
+    put(spark, folder, (1, 1, "2024-05-01T10:15", 20.0), (2, 2, "2024-05-02T10:15", 21.0))
+    known = spark.createDataFrame([(1, datetime(2024, 5, 1, 10, 15))], "locationID long, time timestamp")
+    start_ingest(
+        stored_messages(spark, folder), str(tmp_path / "progress"),
+        lambda table, rows, batch: written.append((table, batch, rows.count())),
+        lambda session, batch, days: asked.append((batch, sorted(days))) or known, available_now=True,
+    ).awaitTermination()
+    assert written == [("current", 0, 1), ("daily", 0, 4)]
+    assert asked == [(0, [date(2024, 5, 1), date(2024, 5, 2)])]
 
 
 def test_distinct_readings(spark, tmp_path):
