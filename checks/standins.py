@@ -10,6 +10,7 @@ from obsframe.functions.geojson import KEEP_NULLS
 from obsframe.operators.envelope import encode_messages
 from obsframe.operators.position import with_position
 from obsframe.schemas import CURRENT_WIRE, ROWS_PER_PAGE
+from obsframe.sources.transports import PAGES_PER_FOLDER
 from obsframe.workspace import new_path
 
 # lineitem as current readings.
@@ -141,7 +142,8 @@ def store_pages(df: DataFrame, key: str) -> str:
         seated.groupBy(F.floor(F.col("position") / ROWS_PER_PAGE).alias("page"))
         .agg(F.sort_array(F.collect_list(record)).alias("list"))
         .select("page", F.to_json(F.struct(F.col("list.record").alias("list")), KEEP_NULLS).alias("body"))
-        .write.partitionBy("page").text(f"{folder}/pages")
+        .withColumn("run", F.floor(F.col("page") / PAGES_PER_FOLDER)).repartition("run")
+        .write.partitionBy("run").parquet(f"{folder}/pages")
     )
     df.agg(F.to_json(F.struct(F.count("*").alias("count"))).alias("body")).write.text(f"{folder}/count")
     return folder

@@ -2,27 +2,38 @@
 
 import json
 
-from pyarrow import fs
+from pyarrow import dataset, fs
+
+PAGES_PER_FOLDER = 100
 
 
 class StoredPages:
-    """Pages kept as ``<folder>/pages/page=<n>/part-*`` and the number of records as ``<folder>/count/part-*``."""
+    """Pages kept as Parquet (page, body) in ``<folder>/pages/run=<page // 100>``, and the number of records as
+    text ``{"count": n}`` in ``<folder>/count``. The last run that was read is kept in memory."""
 
     def __init__(self, folder: str):
         self.folder = folder
+        self.run, self.bodies = None, {}
 
-    def _text(self, name: str) -> str | None:
-        system, root = fs.FileSystem.from_uri(self.folder) if "://" in self.folder or self.folder.startswith("file:") \
-            else (fs.LocalFileSystem(), self.folder)
-        found = system.get_file_info(fs.FileSelector(f"{root}/{name}", allow_not_found=True))
-        parts = sorted(f.path for f in found if f.base_name.startswith("part-") and f.size)
-        if not parts:
-            return None
-        return "".join(system.open_input_stream(p).read().decode() for p in parts)
+    def _open(self):
+        if "://" in self.folder or self.folder.startswith("file:"):
+            return fs.FileSystem.from_uri(self.folder)
+        return fs.LocalFileSystem(), self.folder
 
     def count(self) -> int:
-        return json.loads(self._text("count"))["count"]
+        system, root = self._open()
+        parts = [f.path for f in system.get_file_info(fs.FileSelector(f"{root}/count")) if f.base_name.startswith("part-") and f.size]
+        return json.loads(system.open_input_stream(parts[0]).read())["count"]
 
     def page(self, offset: int, limit: int) -> tuple[int, str | None]:
-        body = self._text(f"pages/page={offset // limit}")
+        number = offset // limit
+        run = number // PAGES_PER_FOLDER
+        if run != self.run:
+            system, root = self._open()
+            try:
+                table = dataset.dataset(f"{root}/pages/run={run}", filesystem=system, format="parquet").to_table(["page", "body"])
+            except FileNotFoundError:
+                return 404, None
+            self.run, self.bodies = run, dict(zip(table["page"].to_pylist(), table["body"].to_pylist()))
+        body = self.bodies.get(number)
         return (404, None) if body is None else (200, body)

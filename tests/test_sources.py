@@ -86,14 +86,16 @@ def test_a_missing_page_is_not_lost(spark, broken, status):
 
 
 def test_stored_pages(spark, tmp_path):
-    (tmp_path / "pages" / "page=0").mkdir(parents=True)
+    body = '{"list":[{"id":4,"Name":"a","Latitude":"1.5","Longitude":"x"}]}'
+    spark.createDataFrame([(0, body)], "page long, body string").write.parquet(str(tmp_path / "pages" / "run=0"))
     (tmp_path / "count").mkdir()
-    (tmp_path / "pages" / "page=0" / "part-0").write_text('{"list":[{"id":4,"Name":"a","Latitude":"1.5","Longitude":"x"}]}')
     (tmp_path / "count" / "part-0").write_text('{"count":1}')
     register_paged_rest(spark, lambda options: StoredPages(options["path"]))
     for path in (str(tmp_path), f"file:{tmp_path}"):
         assert tuple(read_table(spark, "location", path=path).first()) == (4, "a", 1.5, None, None)
-    assert StoredPages(str(tmp_path)).page(500, 500) == (404, None)
+    stored = StoredPages(str(tmp_path))
+    assert stored.count() == 1 and stored.page(0, 500) == (200, body)
+    assert stored.page(500, 500) == stored.page(500_000, 500) == (404, None)
 
 
 def test_crawl(spark, tmp_path):
