@@ -42,10 +42,15 @@ def with_shard(messages: DataFrame) -> DataFrame:
 
 
 def folder_sink(root: str) -> Sink:
-    """A folder per table, day, batch and shard; those of a batch are overwritten when it is tried again."""
+    """A folder per table, day, batch and shard; those of a batch are overwritten when it is tried again. A root
+    belongs to one checkpoint, which counts the batches.
+
+    Rows are gathered by folder, so that there are few files; adaptive execution splits a large folder again.
+    """
 
     def write(table: str, rows: DataFrame, batch_id: int) -> None:
         marked = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        marked = marked.hint("rebalance", F.col("day"), F.col("shard"))
         writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("day", "batch_id", "shard").parquet(f"{root}/{table}")
 

@@ -6,7 +6,6 @@ from datetime import datetime
 
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
 
 from obsframe.plans.jobs import run_from_source, store_result
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from checks.spark_queries import QUERIES
 from checks.standins import given
-from obsframe.operators import cluster
 from obsframe.operators.envelope import current_rows, parse_messages, valid_messages
 from obsframe.operators.versions import latest
 
