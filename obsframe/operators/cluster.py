@@ -3,6 +3,8 @@
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,12 +88,9 @@ def nearest_centre(vector: Column, given: Column) -> Column:
 
 def mean_vectors(df: DataFrame, label: str, vector: str) -> DataFrame:
     """The mean of an array column per label, as (label, centre)."""
-    return (
-        df.select(F.col(label).alias("label"), F.posexplode(vector).alias("axis", "x"))
-        .groupBy("label", "axis").agg(F.avg("x").alias("x"))
-        .groupBy("label").agg(F.sort_array(F.collect_list(F.struct("axis", "x"))).alias("axes"))
-        .select("label", F.col("axes.x").alias("centre"))
-    )
+    vectors = array_to_vector(F.col(vector).cast("array<double>"))
+    means = df.groupBy(F.col(label).alias("label")).agg(Summarizer.mean(vectors).alias("mean"))
+    return means.select("label", vector_to_array("mean").alias("centre"))
 
 
 def assign_given(df: DataFrame, vector: str, given: DataFrame) -> DataFrame:

@@ -74,9 +74,11 @@ def run_once(
     daily: DataFrame, current: DataFrame, places: DataFrame, gazetteer: DataFrame,
     run_time: datetime | Column | None = None,
 ) -> Result:
-    """One whole run. When to run again is the caller's schedule."""
+    """One whole run, at ``run_time`` or now in UTC. When to run again is the caller's schedule."""
+    if run_time is None:
+        run_time = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     first = run_daily(daily, places, gazetteer)
-    second = run_current(current, places, gazetteer, F.current_timestamp() if run_time is None else run_time)
+    second = run_current(current, places, gazetteer, run_time)
     return Result(first.tables | second.tables, first.skipped | second.skipped)
 
 

@@ -2,7 +2,7 @@
 
 import math
 import random
-from datetime import datetime
+from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
@@ -172,5 +172,17 @@ def test_spearman_ties_nulls_constants(spark, monkeypatch, small):
             assert x.correlation == pytest.approx(want.loc[x.matrix_x, x.matrix_y], abs=1e-9)
 
 
+def test_run_time_now_is_utc(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+        text = spearman_long(spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "a double, b double"), ["a", "b"], now).first().time
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    seen = datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=timezone.utc)
+    assert abs((datetime.now(timezone.utc) - seen).total_seconds()) < 120
+
+
 def test_spearman_of_nothing(spark):
     assert spearman_long(spark.createDataFrame([], "a double, b double"), ["a", "b"], datetime(2024, 1, 1)).count() == 0
