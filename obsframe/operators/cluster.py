@@ -118,7 +118,7 @@ def summarize_current(
 ) -> DataFrame:
     """Mean of each metric per time and cluster; of the boolean ``any_of``, whether it holds for any reading."""
     return clustered.groupBy(*by).agg(
-        *[(F.max(c) if c == any_of else F.avg(c)).alias(f"avg_{c}") for c in metrics]
+        *[(F.max(F.col(c).cast("boolean")) if c == any_of else F.avg(c)).alias(f"avg_{c}") for c in metrics]
     )
 
 

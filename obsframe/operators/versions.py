@@ -15,11 +15,10 @@ def latest(rows: DataFrame, keys: list[str], newest_first: list[Column]) -> Data
 
 
 def latest_forecasts(daily: DataFrame) -> DataFrame:
-    """The newest version of each place and day. Ids of the two shards overlap, so the shard decides last."""
-    order = [F.desc("time_created"), F.desc("id")]
-    if "shard" in daily.columns:
-        order.append(F.desc("shard"))
-    return latest(daily, ["time", "locationID"], order)
+    """The newest version of each place and day. Versions of the same moment are told apart by what the table
+    has of id, batch and shard; ids of the two shards overlap."""
+    ties = [c for c in ("id", "batch_id", "shard") if c in daily.columns]
+    return latest(daily, ["time", "locationID"], [F.desc(c) for c in ("time_created", *ties)])
 
 
 def insert_ignore(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:

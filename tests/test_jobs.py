@@ -6,11 +6,15 @@ from datetime import datetime
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
-from obsframe.plans.jobs import run_from_source, store_result
+from obsframe.operators.envelope import encode_messages
+from obsframe.plans.jobs import run_from_source, run_once, store_result
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES
 from obsframe.sinks.tables import append_to
 from obsframe.sources.paged import register_paged_rest
+from obsframe.sources.streams import stored_messages
+from obsframe.streaming.ingest import ingest_to_folder, read_folder
 
 PLACES = 24
 
@@ -106,3 +110,33 @@ def test_current_correlation(result):
         assert r.correlation == pytest.approx(rows[y, x].correlation) if r.correlation is not None else rows[y, x].correlation is None
     assert all(rows[f"avg_{m}", f"avg_{m}"].correlation == pytest.approx(1.0) for m in CASUAL_METRICS)
     assert rows["avg_snow_depth", "avg_rain"].correlation is None
+
+
+def test_from_messages_to_results(spark, tmp_path):
+    """Two rounds of messages of 30 places through the stream, then a run over what it stored."""
+    root, folder = str(tmp_path / "out"), str(tmp_path / "in")
+    for hour in ("10", "11"):
+        record = spark.range(30).select(
+            F.when(F.col("id") < 15, 1).otherwise(2).alias("shard"), "id",
+            F.struct(F.lit(f"2024-05-01T{hour}:00").alias("time"), *[
+                ((F.col("id") * (i + 1) + int(hour)) % 13 if m != "is_day" else F.col("id") % 2).alias(m)
+                for i, m in enumerate(CASUAL_METRICS)
+            ]).alias("current"),
+            F.struct(
+                F.array(*[F.lit(f"2024-05-0{d}") for d in range(1, 8)]).alias("time"),
+                *[F.array(*[F.lit(float(hour)) + d for d in range(7)]).alias(t) for t in DAILY_TEMPERATURES],
+            ).alias("daily"),
+        )
+        encode_messages(record).write.mode("append").parquet(folder)
+        ingest_to_folder(stored_messages(spark, folder), root, f"{root}/progress", available_now=True).awaitTermination()
+    places = spark.range(30).select("id", (F.col("id") * 2.0).alias("Longitude"), (F.col("id") * 1.0).alias("Latitude"))
+    gazetteer = spark.createDataFrame([(1, 5.0, 10.0, "a, West, b"), (2, 25.0, 50.0, "a, East, b")],
+                                      "place_id int, lat double, lon double, address string")
+    tables = run_once(read_folder(spark, root, "daily"), read_folder(spark, root, "current"), places, gazetteer).tables
+    features = [(r.time.day, json.loads(r.geojson)) for r in tables["daily_geojson"].collect()]
+    for day in range(1, 8):
+        assert sum(len(f["geometry"]["coordinates"][0]) for d, f in features if d == day) == 30
+    assert all(f["properties"]["temperature_2m_max"] == 11.0 + d - 1 for d, f in features)
+    assert {f["properties"]["name"] for _, f in features} == {"West", "East"}
+    assert {str(r.time) for r in tables["current_summary"].collect()} == {"2024-05-01 10:00:00", "2024-05-01 11:00:00"}
+    assert tables["current_correlation"].count() == 361
