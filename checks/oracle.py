@@ -153,6 +153,8 @@ ORACLE = {
     "q_stream_ingest": f"""SELECT user_id AS "locationID", strftime(minute, {MICROS}) AS time, value AS temperature_2m, shard FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, minute ORDER BY shard, value) AS n FROM (
           SELECT user_id, date_trunc('minute', ts) AS minute, value, {EVENT_SHARD} AS shard FROM events)) WHERE n = 1""",
+    "q_stream_forecasts": f"""SELECT user_id AS "locationID", strftime(date_trunc('day', ts), {MICROS}) AS time,
+        value AS temperature_2m_max, CAST(NULL AS TIMESTAMP) AS sunrise, {EVENT_SHARD} AS shard FROM events""",
     "q_stream_dedup": f"SELECT user_id AS \"locationID\", strftime(ts, {MICROS}) AS time, value FROM events",
     "q_run_once": f"""SELECT strftime(day, '%Y-%m-%d') AS of, count(*) AS n FROM {LATEST} JOIN customer ON user_id = c_custkey GROUP BY day
         UNION ALL SELECT 'times', count(DISTINCT l_shipdate) FROM lineitem JOIN customer ON l_suppkey = c_custkey

@@ -411,13 +411,19 @@ def q_table_misfits(spark, sf):
     return lost.select(F.explode("misfit").alias("column")).groupBy("column").agg(F.count("*").alias("n"))
 
 
-def q_stream_ingest(spark, sf):
+def _ingested(spark, sf, table):
     root = new_path(spark, "ingest")
     messages = stored_messages(spark, store_messages(event_messages(spark, sf)))
     ingest_to_folder(messages, root, f"{root}/progress", available_now=True).awaitTermination()
-    return read_folder(spark, root, "current").select(
-        "locationID", F.date_format("time", MICROS).alias("time"), "temperature_2m", "shard"
-    )
+    return read_folder(spark, root, table).withColumn("time", F.date_format("time", MICROS))
+
+
+def q_stream_ingest(spark, sf):
+    return _ingested(spark, sf, "current").select("locationID", "time", "temperature_2m", "shard")
+
+
+def q_stream_forecasts(spark, sf):
+    return _ingested(spark, sf, "daily").select("locationID", "time", "temperature_2m_max", "sunrise", "shard")
 
 
 def q_stream_dedup(spark, sf):

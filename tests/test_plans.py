@@ -39,7 +39,7 @@ def test_a_message_is_parsed_once(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_row_functions_in_python(spark, name):
-    if name in ("q_run_once", "q_kmeans_daily", "q_kmeans_current", "q_stream_ingest", "q_stream_dedup"):
+    if name in ("q_run_once", "q_kmeans_daily", "q_kmeans_current", "q_stream_ingest", "q_stream_forecasts", "q_stream_dedup"):
         pytest.skip("runs jobs, and returns a read of their result")
     text = plan(QUERIES[name](spark, DATA))
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
