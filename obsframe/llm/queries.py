@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from obsframe.llm.common import given
 from obsframe.llm.sharding import shard_by_bytes
+from obsframe.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +25,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
     )
+
+
+@query
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(given(spark, sf_dir, "documents"), words=4, distance=4, seed=42)
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
