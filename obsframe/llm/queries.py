@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obsframe.llm.common import given
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
+from obsframe.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +33,24 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(given(spark, sf_dir, "documents"), words=4, distance=4, seed=42)
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(given(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLE["op7_warc"] = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), m AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM m
+"""
