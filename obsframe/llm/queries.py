@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import given
+from obsframe.llm.hamming import sign_code, top_k
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
 from obsframe.llm.warc import archive_pages
@@ -54,3 +55,27 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM m
 """
+
+
+@query
+def op8_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = given(spark, sf_dir, "embeddings").select("vec_id", sign_code("embedding").alias("code"))
+    found = top_k(codes, codes.where(F.col("vec_id") % 20 == 0), 10)
+    return found.select("vec_id", "rank", F.col("neighbour").alias("neighbour_id"), "distance")
+
+
+ORACLE["op8_hamming_topk"] = """
+WITH c AS (
+    SELECT vec_id, array_to_string(list_transform(range(64), lambda i:
+        CASE WHEN embedding[i + 1] > 0 THEN '1' ELSE '0' END), '')::BIT AS code
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding[:64], lambda v: v IS NULL OR isnan(v))) = 0
+), p AS (
+    SELECT q.vec_id, r.vec_id AS neighbour_id, CAST(bit_count(xor(q.code, r.code)) AS INTEGER) AS distance
+    FROM c q JOIN c r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id
+), n AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank FROM p
+)
+SELECT vec_id, rank, neighbour_id, distance FROM n WHERE rank <= 10
+"""
