@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import given
+from obsframe.llm import embedding_dedup
 from obsframe.llm.hamming import sign_code, top_k
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
@@ -79,3 +80,24 @@ WITH c AS (
 )
 SELECT vec_id, rank, neighbour_id, distance FROM n WHERE rank <= 10
 """
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(given(spark, sf_dir, "embeddings"), 0.9)
+
+
+ORACLE["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+), r AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON a = vec_id
+"""
