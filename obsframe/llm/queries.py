@@ -101,3 +101,14 @@ WITH RECURSIVE v AS (
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN c ON a = vec_id
 """
+
+
+@query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    found = encode(given(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN, decode=True)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
