@@ -2,11 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import given
 from obsframe.llm import embedding_dedup
+from obsframe.llm.bpe import encode, read_ranks
+from obsframe.llm.common import given
 from obsframe.llm.hamming import sign_code, top_k
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
