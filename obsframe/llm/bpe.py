@@ -26,22 +26,26 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
+def pairs(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (left, right) in order, and the rank of the token that the two make."""
+    rank = {t: r for r, t in enumerate(tokens)}
+    made = sorted(
+        (rank[t[:i]] << 32 | rank[t[i:]], r)
+        for t, r in rank.items() for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank
+    )
+    keys, ranks = np.array(made, np.int64).reshape(-1, 2).T
+    return keys.copy(), ranks.astype(np.int32)
+
+
 class Merges:
     """Which two tokens make which: sorted keys (left, right) and ranks; as large as the vocabulary."""
 
-    def __init__(self, tokens: list[bytes]):
-        rank = {t: r for r, t in enumerate(tokens)}
-        self.tokens = tokens
-        self.octet = np.array([rank[bytes([b])] for b in range(256)], np.int32)
-        made = [
-            (rank[t[:i]] << 32 | rank[t[i:]], r)
-            for t, r in rank.items() for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank
-        ]
-        keys, ranks = np.array(sorted(made), np.int64).reshape(-1, 2).T
-        self.keys, self.ranks = keys.copy(), ranks.astype(np.int32)
+    def __init__(self, tokens: list[bytes], keys: np.ndarray | None = None, ranks: np.ndarray | None = None):
+        self.whole = {t: r for r, t in enumerate(tokens)}
+        self.octet = np.array([self.whole[bytes([b])] for b in range(256)], np.int32)
+        self.keys, self.ranks = pairs(tokens) if keys is None else (keys, ranks)
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.ends = np.cumsum([len(t) for t in tokens])
-        self.whole = rank
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right
@@ -137,10 +141,10 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_i
     long texts are encoded whole. A task replays the merges over the distinct matches of a block of texts at a time.
     Other columns are not looked at.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Merges(tokens))  # as large as the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((tokens, *pairs(tokens)))  # as large as the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = shared.value
+        merges = Merges(*shared.value)
         pieces = Pieces(pattern, lambda words: replay([w.encode() for w in words], merges))
         for block in blocks(batches, "text", BLOCK_BYTES):
             found = pieces.ids([t or "" for t in block.column("text").to_pylist()])
