@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsframe.llm.pretokens import ranges
 from obsframe.workspace import materialize
 
 BITS, SEGMENT = 64, 16
@@ -55,9 +56,10 @@ class MultiIndex:
         parts = [int(self.values(np.array([query]), s)[0]) for s in range(len(self.tables))]
         for radius in range(SEGMENT + 1):
             new = [self.rows(s, parts[s] ^ self.flips[radius]) for s in range(len(self.tables))]
-            new = np.unique(np.concatenate(new))
-            new = new[~seen[new]]
-            seen[new] = True
+            found = np.zeros(len(self.codes), bool)
+            found[np.concatenate(new)] = True
+            new = np.flatnonzero(found & ~seen)
+            seen |= found
             if besides is not None:
                 new = new[self.ids[new] != besides]
             at = np.concatenate([at, new])
@@ -74,8 +76,8 @@ class MultiIndex:
     def rows(self, segment: int, values: np.ndarray) -> np.ndarray:
         by, bounds = self.tables[segment]
         starts, ends = bounds[values], bounds[values + 1]
-        full = np.flatnonzero(ends > starts)
-        return by[np.concatenate([np.arange(a, b) for a, b in zip(starts[full].tolist(), ends[full].tolist())])] if len(full) else by[:0]
+        full = ends > starts
+        return ranges(by, starts[full], ends[full])
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", code: str = "code") -> DataFrame:
