@@ -10,6 +10,7 @@ from obsframe.llm import embedding_dedup
 from obsframe.llm.bpe import encode, read_ranks
 from obsframe.llm.common import given
 from obsframe.llm.hamming import sign_code, top_k
+from obsframe.llm.packing import pack
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
 from obsframe.llm.warc import archive_pages
@@ -114,3 +115,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(given(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    found = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
