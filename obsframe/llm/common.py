@@ -3,8 +3,9 @@
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A document belongs to the part of its key that models may learn from, or to the part held out.
 FOLDS, HELD_OUT = 4, 2
@@ -37,6 +38,12 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
             yield batch.slice(start)
 
 
+def schema_with(df: DataFrame, added: dict[str, str]) -> T.StructType:
+    """The columns of ``df`` and some more, all of which may be NULL."""
+    fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
+    return T.StructType(fields + [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in added.items()])
+
+
 def text_bytes(column: pa.Array) -> list[int]:
     import pyarrow.compute as pc
 
@@ -46,3 +53,30 @@ def text_bytes(column: pa.Array) -> list[int]:
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; NULL is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
+
+
+def learnable(key: str, folds: int = FOLDS) -> Column:
+    """Not held out; a NULL key is in neither part."""
+    return (remainder(key, folds) >= 0) & ~held_out(key, folds)
+
+
+def sample_texts(rows: DataFrame, label: str, text: str, most_rows: int, most_bytes: int) -> pa.Table:
+    """(label, text) of distinct texts: per label the first ones by hash, up to so many rows and bytes.
+
+    Which texts there are is found out from their hashes; only the chosen ones are then read whole.
+    """
+    known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
+    )
+    sizes = known.select("label", "hash", F.octet_length("text").alias("bytes")).distinct()
+    order = Window.partitionBy("label").orderBy("hash")
+    first = sizes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most_rows)
+    ends = first.withColumn("total", F.sum("bytes").over(order)).where(F.col("total") <= most_bytes)
+    limits = {r.label: r.end for r in ends.groupBy("label").agg(F.max("hash").alias("end")).collect()}
+    if not limits:
+        return known.select("label", "text").limit(0).toArrow()
+    chosen = F.lit(False)
+    for value, end in limits.items():
+        chosen = chosen | ((F.col("label") == F.lit(value)) & (F.col("hash") <= F.lit(end)))
+    found = known.where(chosen).dropDuplicates(["label", "hash"]).select("label", "text", "hash").toArrow()
+    return found.sort_by([("label", "ascending"), ("hash", "ascending")]).drop_columns(["hash"])

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from obsframe.llm import embedding_dedup
 from obsframe.llm.bpe import encode, read_ranks
-from obsframe.llm.common import given
+from obsframe.llm.common import given, held_out, learnable
 from obsframe.llm.hamming import sign_code, top_k
+from obsframe.llm.language import identify, learn
 from obsframe.llm.packing import pack
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
@@ -125,3 +126,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     found = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    models = learn(docs.where(learnable("doc_id")))
+    found = identify(docs.select("doc_id", "text"), models)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_rejected")
