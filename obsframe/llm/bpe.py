@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import blocks
-from obsframe.llm.pretokens import Pieces, ranges
+from obsframe.llm.pretokens import Words, by_matches, ranges
 
 BLOCK_BYTES = 8 << 20
 NONE = np.int32(2**31 - 1)
@@ -145,9 +145,9 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, key: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = Merges(*shared.value)
-        pieces = Pieces(pattern, lambda words: replay([w.encode() for w in words], merges))
+        words = Words(by_matches(pattern, lambda found: replay([w.encode() for w in found], merges)))
         for block in blocks(batches, "text", BLOCK_BYTES):
-            found = pieces.ids([t or "" for t in block.column("text").to_pylist()])
+            found = words.ids([t or "" for t in block.column("text").to_pylist()])
             offsets = np.cumsum([0, *map(len, found)])
             columns = [block.column("key"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))]
             if decode:

@@ -1,23 +1,32 @@
-"""Texts as numbers of their pieces, each distinct piece kept once."""
+"""Texts as numbers of their words, each distinct word encoded once."""
 
+import re
 from collections import defaultdict
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import regex
 
-MOST_PIECES = 400_000
+MOST_WORDS = 400_000
+#: (ids of all strings, one after the other; number of ids per string)
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
-class Pieces:
-    """Splits texts by a pattern and knows the ids of each piece; a piece is encoded once for many texts.
+class Words:
+    """Cuts texts before every blank with something visible after it, and knows the ids of each such word.
 
-    When more than ``MOST_PIECES`` are known, they are forgotten before the next block, and encoded again if they
-    come again; so memory is bounded, and the ids are the same.
+    With the pattern in use a match can have a blank only in front, or among other blanks, so there is always a new
+    match at these cuts, and a word's matches do not depend on what surrounds it. When more than ``MOST_WORDS`` are
+    known they are forgotten before the next block, and encoded again if they come again; so memory is bounded, and
+    the ids are the same.
     """
 
-    def __init__(self, pattern: str, encode: Callable[[list[str]], list[np.ndarray] | tuple[np.ndarray, np.ndarray]]):
-        self.split, self.encode = regex.compile(pattern).findall, encode
+    odd = re.compile(r" (?:\s|$)").search
+    cuts = re.compile(r"(?<=.)(?= \S)", re.DOTALL).split
+
+    def __init__(self, encode: Encode):
+        self.encode = encode
         self.forget()
 
     def forget(self) -> None:
@@ -25,15 +34,24 @@ class Pieces:
         self.number.default_factory = self.number.__len__
         self.flat, self.ends = np.empty(0, np.int32), np.empty(0, np.int64)
 
+    def keys(self, text: str) -> list[str]:
+        """A word without its blank in front; the first one, which has none, behind a blank."""
+        if self.odd(text):
+            first, *rest = self.cuts(text)
+            return [" " + first, *(w[1:] for w in rest)]
+        found = text.split(" ")
+        found[0] = " " + found[0]
+        return found
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.number) > MOST_PIECES:
+        if len(self.number) > MOST_WORDS:
             self.forget()
         known = len(self.number)
-        numbers = [np.fromiter(map(self.number.__getitem__, self.split(t)), np.int32) for t in texts]
-        new = list(self.number)[known:] if len(self.number) > known else []
-        if new:
-            flat, lengths = self.encode(new)
+        numbers = [np.fromiter(map(self.number.__getitem__, self.keys(t)), np.int32) for t in texts]
+        if len(self.number) > known:
+            new = list(self.number)[known:]
+            flat, lengths = self.encode([w[1:] if w[0] == " " else " " + w for w in new])
             start = self.ends[-1] if len(self.ends) else 0
             self.flat = np.concatenate([self.flat, flat])
             self.ends = np.concatenate([self.ends, start + np.cumsum(lengths)])
@@ -41,6 +59,26 @@ class Pieces:
         return [ranges(self.flat, starts[n], self.ends[n]) for n in numbers]
 
 
+def by_matches(pattern: str, encode: Encode) -> Encode:
+    """Encodes strings by the matches of ``pattern`` in each, every distinct match once."""
+    split = regex.compile(pattern).findall
+
+    def run(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        found = [split(w) for w in words]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        numbers = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64)
+        flat, lengths = encode(list(number))
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        total = np.concatenate([[0], np.cumsum(lengths[numbers])])
+        last = np.cumsum(counts)
+        return ranges(flat, starts[numbers], ends[numbers]), total[last] - total[last - counts]
+
+    return run
+
+
 def ranges(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The ranges of ``flat``, one after the other."""
     lengths = ends - starts

@@ -124,7 +124,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    found = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    found = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
