@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from obsframe.llm import embedding_dedup
 from obsframe.llm.bpe import encode, read_ranks
 from obsframe.llm.common import given, held_out, learnable
+from obsframe.llm.context_tree import score
 from obsframe.llm.hamming import sign_code, top_k
 from obsframe.llm.language import identify, learn
 from obsframe.llm.packing import pack
@@ -134,3 +135,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = learn(docs.where(learnable("doc_id")))
     found = identify(docs.select("doc_id", "text"), models)
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_rejected")
+
+
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score(given(spark, sf_dir, "documents"), learnable("doc_id", 7))
+    return found.select(
+        "doc_id", held_out("doc_id", 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
