@@ -60,23 +60,20 @@ def learnable(key: str, folds: int = FOLDS) -> Column:
     return (remainder(key, folds) >= 0) & ~held_out(key, folds)
 
 
-def sample_texts(rows: DataFrame, label: str, text: str, most_rows: int, most_bytes: int) -> pa.Table:
-    """(label, text) of distinct texts: per label the first ones by hash, up to so many rows and bytes.
-
-    Which texts there are is found out from their hashes; only the chosen ones are then read whole.
-    """
-    known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
-    )
-    sizes = known.select("label", "hash", F.octet_length("text").alias("bytes")).distinct()
+def labelled(rows: DataFrame, label: str, text: str) -> DataFrame:
+    """(label, hash, bytes) of the texts that have a label."""
+    hashed = rows.select(F.col(label).alias("label"), F.xxhash64(text).alias("hash"), F.octet_length(text).alias("bytes"))
+    return hashed.where(F.col("label").isNotNull() & F.col("bytes").isNotNull())
+
+
+def sample_texts(texts: DataFrame, known: DataFrame, most_rows: int, most_bytes: int, text: str = "text") -> pa.Table:
+    """(label, text) of distinct texts: per label of ``known`` (label, hash, bytes) the first ones by hash, up to so
+    many rows and bytes. Only the chosen ones are read whole, and nothing but hashes is shuffled for the choice."""
     order = Window.partitionBy("label").orderBy("hash")
-    first = sizes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most_rows)
-    ends = first.withColumn("total", F.sum("bytes").over(order)).where(F.col("total") <= most_bytes)
-    limits = {r.label: r.end for r in ends.groupBy("label").agg(F.max("hash").alias("end")).collect()}
-    if not limits:
-        return known.select("label", "text").limit(0).toArrow()
-    chosen = F.lit(False)
-    for value, end in limits.items():
-        chosen = chosen | ((F.col("label") == F.lit(value)) & (F.col("hash") <= F.lit(end)))
-    found = known.where(chosen).dropDuplicates(["label", "hash"]).select("label", "text", "hash").toArrow()
+    first = known.distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most_rows)
+    chosen = first.withColumn("total", F.sum("bytes").over(order)).where(F.col("total") <= most_bytes)
+    pairs = texts.sparkSession.createDataFrame(chosen.select("label", "hash").collect(), chosen.select("label", "hash").schema)
+    hashed = texts.select(F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    # At most ``most_rows`` rows per label are broadcast.
+    found = hashed.join(F.broadcast(pairs), "hash").dropDuplicates(["label", "hash"]).select("label", "text", "hash").toArrow()
     return found.sort_by([("label", "ascending"), ("hash", "ascending")]).drop_columns(["hash"])

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import blocks, sample_texts, schema_with
+from obsframe.llm.common import blocks, labelled, sample_texts, schema_with
 
 ORDER = 4
 # Models learn from a bounded sample: per language so many texts and bytes at most, some of them for calibration.
@@ -204,7 +204,7 @@ class Models:
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Models | None:
     """Models from a bounded sample of the rows that have a text and a language; every fifth text calibrates. None if
     there are no such rows."""
-    sample = sample_texts(rows, lang, text, SAMPLE_ROWS, SAMPLE_BYTES)
+    sample = sample_texts(rows, labelled(rows, lang, text), SAMPLE_ROWS, SAMPLE_BYTES, text)
     texts: dict[str, list[str]] = {}
     for language, body in zip(sample.column("label").to_pylist(), sample.column("text").to_pylist()):
         texts.setdefault(language, []).append(body)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm import embedding_dedup
+from obsframe.llm import embedding_dedup, toxicity
 from obsframe.llm.bpe import encode, read_ranks
 from obsframe.llm.common import given, held_out, learnable
 from obsframe.llm.context_tree import score
@@ -143,3 +143,14 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", held_out("doc_id", 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
     )
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.learn(docs.where(learnable("doc_id")), given(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, scorer)
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
