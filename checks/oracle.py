@@ -112,19 +112,22 @@ ORACLE = {
         bool_or(l_returnflag = 'R') AS avg_is_day,
         {columns({f"avg_{m}": r4(f"avg({READING[m]})") for m in CASUAL_METRICS if m != "is_day"})}
         FROM lineitem GROUP BY l_shipdate, l_linenumber""",
-    "q_cluster_points": f"""SELECT prediction, 0 AS part, count(*) AS n,
+    "q_cluster_points": f"""SELECT prediction, id % 3 AS part, count(*) AS n,
         '[' || string_agg('[' || CAST(lon AS VARCHAR) || ',' || CAST(lat AS VARCHAR) || ']', ',' ORDER BY id) || ']' AS coordinates
-        FROM {CUSTOMERS} GROUP BY prediction""",
+        FROM {CUSTOMERS} GROUP BY prediction, id % 3""",
     "q_cluster_centroid": f"""SELECT prediction, {r4("avg(lon)")} AS "centroid_Longitude", {r4("avg(lat)")} AS "centroid_Latitude"
         FROM {CUSTOMERS} GROUP BY prediction""",
     "q_cluster_named": f"""SELECT prediction, n_name AS centroid_address, {r4("avg(lat)")} AS "centroid_Latitude",
         {columns({t: r4("avg(lat)") for t in DAILY_TEMPERATURES})}
         FROM {CUSTOMERS} JOIN nation ON n_nationkey = prediction GROUP BY prediction, n_name""",
-    "q_geojson": f"""SELECT prediction, '{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[['
+    "q_geojson": f"""SELECT prediction, part, 3 AS parts, '{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[['
         || string_agg('[' || CAST(lon AS VARCHAR) || ',' || CAST(lat AS VARCHAR) || ']', ',' ORDER BY id)
         || ']]}},"properties":{{"name":"' || n_name || '"'
-        {" ".join(f'''|| ',"{t}":' || CAST({r4("avg(lat)")} AS VARCHAR)''' for t in DAILY_TEMPERATURES)} || '}}}}' AS geojson
-        FROM {CUSTOMERS} JOIN nation ON n_nationkey = prediction GROUP BY prediction, n_name""",
+        {" ".join(f'''|| ',"{t}":' || CAST({r4("mean")} AS VARCHAR)''' for t in DAILY_TEMPERATURES)}
+        || ',"part":' || part || ',"parts":3}}}}' AS geojson
+        FROM (SELECT *, id % 3 AS part FROM {CUSTOMERS}) JOIN nation ON n_nationkey = prediction
+        JOIN (SELECT prediction, avg(lat) AS mean FROM {CUSTOMERS} GROUP BY prediction) USING (prediction)
+        GROUP BY prediction, part, n_name, mean""",
     "q_reverse_geocode": f"""SELECT s_suppkey, place_id, name, {r4("d")} AS squared_distance FROM (
         SELECT s_suppkey, c_custkey AS place_id, c_mktsegment AS name, d,
           row_number() OVER (PARTITION BY s_suppkey ORDER BY d, c_custkey) AS n FROM (
@@ -143,7 +146,8 @@ ORACLE = {
         for j, y in enumerate(["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     ),
     "q_ddl_typed_table": f"""SELECT CAST(l_suppkey AS INT) AS "locationID", strftime(l_shipdate, {MICROS}) AS time,
-        l_linenumber AS wind_direction_10m, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 2 END AS shard,
+        l_linenumber AS wind_direction_10m, CAST(round(l_linenumber + 0.55) AS INT) AS uv_index,
+        CAST(round(l_quantity * 8.375) AS INT) AS visibility, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 2 END AS shard,
         CAST(TRY_CAST(l_quantity AS DECIMAL(5,2)) AS DOUBLE) AS temperature_2m,
         CAST(TRY_CAST(l_discount AS DECIMAL(5,2)) AS DOUBLE) AS rain,
         CAST(TRY_CAST(l_extendedprice AS DECIMAL(5,2)) AS DOUBLE) AS apparent_temperature,

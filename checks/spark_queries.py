@@ -14,7 +14,7 @@ from checks.standins import (
     store_messages, store_pages,
 )
 from obsframe.functions.casts import local_time, misfits, typed
-from obsframe.functions.geojson import polygon, ring
+from obsframe.functions.geojson import ring
 from obsframe.functions.text import address_part, grid, page_query
 from obsframe.operators import cluster
 from obsframe.operators.correlate import spearman_long
@@ -28,7 +28,7 @@ from obsframe.operators.position import with_position
 from obsframe.operators.shards import shard_sizes, split_shards, table_of, topic_of, union_shards
 from obsframe.operators.versions import insert_ignore, latest_forecasts
 from obsframe.plans.crawl import crawl
-from obsframe.plans.jobs import run_once
+from obsframe.plans.jobs import daily_features, run_once
 from obsframe.schemas import CASUAL_METRICS, CURRENT_TABLE, DAILY_TEMPERATURES, FULL_METRICS, ROWS_PER_PAGE, TIMEZONE
 from obsframe.sinks.tables import append_by_shard, create_tables, insert_rows
 from obsframe.sources.locations import read_locations
@@ -36,7 +36,7 @@ from obsframe.sources.paged import page_rows, read_pages, read_table, register_p
 from obsframe.sources.requests import build_requests, failed, profile, succeeded
 from obsframe.sources.streams import stored_messages
 from obsframe.sources.transports import StoredPages
-from obsframe.streaming.ingest import distinct_readings, ingest_to_folder, read_folder
+from obsframe.streaming.ingest import ingest_to_folder, read_distinct, read_folder, start_distinct
 from obsframe.workspace import materialize, new_path
 
 cloudpickle.register_pickle_by_value(checks)
@@ -330,7 +330,7 @@ def _customers_by_nation(spark, sf):
 
 
 def q_cluster_points(spark, sf):
-    return cluster.cluster_points(_customers_by_nation(spark, sf), ["prediction"]).select(
+    return cluster.cluster_points(_customers_by_nation(spark, sf), ["prediction"], parts=3).select(
         "prediction", "part", F.size("points").alias("n"), F.to_json(ring(F.col("points"))).alias("coordinates")
     )
 
@@ -343,7 +343,8 @@ def q_cluster_centroid(spark, sf):
 
 def _named(spark, sf):
     names = given(spark, sf, "nation").select(F.col("n_nationkey").alias("prediction"), F.col("n_name").alias("centroid_address"))
-    return lookup_join(cluster.centroids(_customers_by_nation(spark, sf)), names, ["prediction"])
+    centres = materialize(cluster.centroids(_customers_by_nation(spark, sf)), "nation-centroids")
+    return materialize(lookup_join(centres, names, ["prediction"], stored=True), "nation-names")
 
 
 def q_cluster_named(spark, sf):
@@ -357,11 +358,9 @@ def q_cluster_named(spark, sf):
 def q_geojson(spark, sf):
     customers = _customers_by_nation(spark, sf)
     summary = cluster.join_names(cluster.summarize_daily(customers, ["prediction"]), _named(spark, sf))
-    points = cluster.cluster_points(customers, ["prediction"])
-    properties = {"name": F.col("centroid_address"), **{t: r4(t) for t in DAILY_TEMPERATURES}}
-    return points.join(summary, "prediction").select(
-        "prediction", polygon(ring(F.col("points")), properties).alias("geojson")
-    )
+    points = cluster.cluster_points(customers, ["prediction"], parts=3)
+    rounded = summary.select("prediction", "centroid_address", *[r4(t).alias(t) for t in DAILY_TEMPERATURES])
+    return daily_features(materialize(rounded, "geojson-summary"), points, ["prediction"])
 
 
 def q_reverse_geocode(spark, sf):
@@ -391,6 +390,7 @@ def _table_rows(spark, sf):
     return select(given(spark, sf, "lineitem"), {
         "locationID": "l_suppkey", "time": "l_shipdate", "temperature_2m": "l_quantity", "rain": "l_discount",
         "apparent_temperature": "l_extendedprice", "precipitation": "l_tax", "wind_direction_10m": "l_linenumber",
+        "uv_index": "l_linenumber + 0.55D", "visibility": "l_quantity * 8.375D",
         "shard": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 2 END",
     })
 
@@ -401,7 +401,7 @@ def q_ddl_typed_table(spark, sf):
     insert_rows(_table_rows(spark, sf), f"{prefix}current", "current")
     numbers = ["temperature_2m", "rain", "apparent_temperature", "precipitation", "snowfall"]
     return spark.table(f"{prefix}current").select(
-        "locationID", F.date_format("time", MICROS).alias("time"), "wind_direction_10m", "shard",
+        "locationID", F.date_format("time", MICROS).alias("time"), "wind_direction_10m", "uv_index", "visibility", "shard",
         *[F.col(c).cast("double").alias(c) for c in numbers],
     )
 
@@ -431,12 +431,9 @@ def q_stream_dedup(spark, sf):
     readings = given(spark, sf, "events").select(
         F.col("user_id").alias("locationID"), F.col("ts").cast("timestamp").alias("time"), "value"
     )
-    stream = spark.readStream.schema(readings.schema).parquet(store_messages(readings, copies=2))
-    (
-        distinct_readings(stream).writeStream.format("parquet").option("path", f"{root}/rows")
-        .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()
-    )
-    return spark.read.schema(readings.schema).parquet(f"{root}/rows").withColumn("time", F.date_format("time", MICROS))
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(store_messages(readings, copies=2))
+    start_distinct(stream, f"{root}/rows", f"{root}/progress", available_now=True).awaitTermination()
+    return read_distinct(spark, f"{root}/rows", readings.schema).withColumn("time", F.date_format("time", MICROS))
 
 
 def q_run_once(spark, sf):

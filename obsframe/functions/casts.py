@@ -43,7 +43,8 @@ def fitted(df: DataFrame, field: T.StructField) -> Column:
         bound = 10 ** (target.precision - target.scale)
         return F.when(F.abs(F.round(value, target.scale)) < bound, value.cast(target))
     if isinstance(source, T.FractionalType) and isinstance(target, T.IntegerType):
-        return F.when((value > -(1 << 31) - 1) & (value < 1 << 31), value.cast(target))
+        whole = F.round(value)
+        return F.when((whole >= -(1 << 31)) & (whole < 1 << 31), whole.cast(target))
     return value.try_cast(target)
 
 

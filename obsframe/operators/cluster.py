@@ -18,8 +18,7 @@ DAILY_FEATURES = ["Longitude", "Latitude", *DAILY_TEMPERATURES]
 CURRENT_FEATURES = CASUAL_METRICS
 CLUSTERS = 10
 SEED = 1
-MOST_CENTRES = 10_000
-POINTS_PER_FEATURE = 10_000
+CENTRES_PER_BLOCK = 1_000
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> None:
@@ -39,7 +38,7 @@ def incomplete(df: DataFrame, features: list[str]) -> DataFrame:
     require_columns(df, features)
     gap = F.lit(False)
     for c in features:
-        gap = gap | F.col(c).isNull()
+        gap = gap | F.col(c).isNull() | F.isnan(c)
     return df.where(gap)
 
 
@@ -50,8 +49,6 @@ def fit_clusters(
     """Fit k-means. Pass a stored table; ``partitions`` spreads an unevenly stored one once, before the
     iterations."""
     require_columns(df, features)
-    if k > MOST_CENTRES:
-        raise ValueError(f"at most {MOST_CENTRES} clusters")
     vector = "_vector" if scale else "features"
     stages = [VectorAssembler(inputCols=features, outputCol=vector, handleInvalid="skip")]
     if scale:
@@ -81,9 +78,9 @@ def squared_distance(a: Column, b: Column) -> Column:
 
 
 def nearest_centre(vector: Column, given: Column) -> Column:
-    """Label of the nearest of ``given``, an array of structs (label, centre); the smallest label wins ties."""
+    """(d, label) of the nearest of ``given``, an array of structs (label, centre); the smallest label wins ties."""
     ranked = F.transform(given, lambda c: F.struct(squared_distance(vector, c["centre"]).alias("d"), c["label"].alias("label")))
-    return F.array_min(ranked)["label"]
+    return F.array_min(ranked)
 
 
 def mean_vectors(df: DataFrame, label: str, vector: str) -> DataFrame:
@@ -94,13 +91,19 @@ def mean_vectors(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def assign_given(df: DataFrame, vector: str, given: DataFrame) -> DataFrame:
-    """Add ``prediction`` for given centres (label, centre); their number is checked, as each task gets all."""
-    if given.limit(MOST_CENTRES + 1).count() > MOST_CENTRES:
-        raise ValueError(f"at most {MOST_CENTRES} centres")
-    table = given.agg(F.collect_list(F.struct("label", "centre"))).scalar()
-    return df.withColumn("_centres", table).select(
-        *df.columns, nearest_centre(F.col(vector), F.col("_centres")).alias("prediction")
-    )
+    """Add ``prediction`` for given centres (label, centre). Rows meet a block of centres at a time and keep the
+    nearest so far, so no task holds all centres where there are many."""
+    given = materialize(given, "centres")
+    blocks = max(1, -(-given.count() // CENTRES_PER_BLOCK))
+    nearest = df.withColumn("_nearest", F.lit(None).cast(f"struct<d:double,label:{given.schema['label'].dataType.simpleString()}>"))
+    for block in range(blocks):
+        some = given.where(F.pmod(F.xxhash64("label"), F.lit(blocks)) == block)
+        table = some.agg(F.collect_list(F.struct("label", "centre"))).scalar()
+        found = nearest_centre(F.col(vector), F.col("_centres"))
+        nearest = nearest.withColumn("_centres", table).select(*df.columns, F.least("_nearest", found).alias("_nearest"))
+        if blocks > 1:
+            nearest = materialize(nearest, "nearest")
+    return nearest.select(*df.columns, F.col("_nearest.label").alias("prediction"))
 
 
 def summarize_daily(clustered: DataFrame, by: list[str] = ["time", "prediction"]) -> DataFrame:
@@ -142,17 +145,13 @@ def join_names(summary: DataFrame, named: DataFrame) -> DataFrame:
     return lookup_join(summary.select(*kept), named, ["prediction"])
 
 
-def cluster_points(clustered: DataFrame, by: list[str], most: int = POINTS_PER_FEATURE) -> DataFrame:
-    """The points of each group in order of ``locationID``, as ``points``; and ``part`` and ``parts``.
+def cluster_points(clustered: DataFrame, by: list[str], parts: int = 1) -> DataFrame:
+    """The points of each group in order of ``locationID``, as ``points``, in ``parts`` parts; and ``part`` and ``parts``.
 
-    A group of more than ``most`` points comes as several rows of about ``most`` points each, so that no
-    row and no task holds a whole large group.
+    A part holds the points whose id leaves that remainder, whatever the number of points. Give as many parts as the
+    largest group needs to fit a row; a NULL id is in part 0.
     """
-    sizes = clustered.groupBy(*by).agg(F.ceil(F.count("*") / most).cast("int").alias("_parts"))
-    large = materialize(sizes.where(F.col("_parts") > 1), "large-groups")
-    placed = lookup_join(clustered.select(*by, "locationID", "Longitude", "Latitude"), large, by, "left")
-    parts = F.coalesce("_parts", F.lit(1))
-    part = F.pmod(F.xxhash64("locationID", "Longitude", "Latitude"), parts).cast("int")
-    return placed.groupBy(*by, parts.alias("parts"), part.alias("part")).agg(
+    part = F.coalesce(F.pmod(F.col("locationID"), F.lit(parts)), F.lit(0)).cast("int")
+    return clustered.groupBy(*by, F.lit(parts).alias("parts"), part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("locationID", "Longitude", "Latitude"))).alias("points")
     )

@@ -33,12 +33,17 @@ def union_shards(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def topic_of(shard: Column) -> Column:
-    return F.when(shard == 1, TOPICS[1]).otherwise(TOPICS[2])
+    return F.when(shard == 1, TOPICS[1]).when(shard == 2, TOPICS[2]).otherwise(_unknown("shard", shard))
 
 
 def shard_of(topic: Column) -> Column:
-    return F.when(topic == TOPICS[1], 1).otherwise(2)
+    return F.when(topic == TOPICS[1], 1).when(topic == TOPICS[2], 2).otherwise(_unknown("topic", topic).cast("int"))
 
 
 def table_of(shard: Column, kind: str) -> Column:
-    return F.when(shard == 1, SHARD_TABLES[1][kind]).otherwise(SHARD_TABLES[2][kind])
+    return F.when(shard == 1, SHARD_TABLES[1][kind]).when(shard == 2, SHARD_TABLES[2][kind]).otherwise(_unknown("shard", shard))
+
+
+def _unknown(what: str, value: Column) -> Column:
+    """A row of no shard fails the job."""
+    return F.raise_error(F.concat(F.lit(f"unknown {what}: "), F.coalesce(value.cast("string"), F.lit("NULL")))).cast("string")

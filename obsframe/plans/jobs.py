@@ -28,15 +28,15 @@ class Result:
 
 
 def daily_features(summary: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
-    """One GeoJSON Feature per group; a large group has several, see :func:`cluster.cluster_points`.
+    """One GeoJSON Feature per group and part, which it names; see :func:`cluster.cluster_points`.
     ``summary`` is a stored table with one row per group."""
-    properties = {"name": F.col("centroid_address"), **{t: F.col(t) for t in DAILY_TEMPERATURES}}
+    properties = {"name": F.col("centroid_address"), **{t: F.col(t) for t in DAILY_TEMPERATURES}, "part": F.col("part"), "parts": F.col("parts")}
     return sized_join(points, summary, by).select(
-        *by, "part", polygon(ring(F.col("points")), properties).alias("geojson")
+        *by, "part", "parts", polygon(ring(F.col("points")), properties).alias("geojson")
     )
 
 
-def run_daily(daily: DataFrame, places: DataFrame, gazetteer: DataFrame, k: int = cluster.CLUSTERS) -> Result:
+def run_daily(daily: DataFrame, places: DataFrame, gazetteer: DataFrame, k: int = cluster.CLUSTERS, parts: int = 1) -> Result:
     """Latest forecasts by day and cluster as GeoJSON: (time, geojson)."""
     columns = ["time", "locationID", *DAILY_TEMPERATURES]
     located = materialize(locate(latest_forecasts(daily).select(*columns), places.select(*POSITION)), "daily")
@@ -44,7 +44,7 @@ def run_daily(daily: DataFrame, places: DataFrame, gazetteer: DataFrame, k: int
     clustered = materialize(cluster.assign_clusters(model, located), "daily-clustered")
     named = materialize(cluster.name_centroids(cluster.centroids(clustered), gazetteer), "daily-named")
     summary = materialize(cluster.join_names(cluster.summarize_daily(clustered), named), "daily-summary")
-    points = cluster.cluster_points(clustered, ["time", "prediction"])
+    points = cluster.cluster_points(clustered, ["time", "prediction"], parts)
     features = daily_features(summary, points, ["time", "prediction"])
     return Result(
         {"daily_geojson": features.select("time", "geojson")},

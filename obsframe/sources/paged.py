@@ -87,9 +87,12 @@ def _good_body() -> Column:
 
 
 def page_rows(pages: DataFrame, schema: T.StructType) -> DataFrame:
-    """The records of all pages, whose body is ``{"list": [record, ...]}``."""
+    """The records of all pages, whose body is ``{"list": [record, ...]}``; the job fails at one without a list."""
     envelope = T.StructType([T.StructField("list", T.ArrayType(schema))])
-    return pages.select(F.inline(F.from_json(_good_body(), envelope)["list"]))
+    message = F.concat(F.lit("page "), F.col("page").cast("string"), F.lit(": no list of records"))
+    listed = F.from_json(_good_body(), envelope)["list"]
+    checked = F.when(listed.isNotNull(), listed).otherwise(F.raise_error(message).cast(T.ArrayType(schema)))
+    return pages.select(F.inline(checked))
 
 
 def read_table(spark: SparkSession, table: str, **options: str) -> DataFrame:

@@ -4,7 +4,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import obsframe
@@ -17,6 +17,8 @@ cloudpickle.register_pickle_by_value(obsframe)
 # A transport sends one request, a dict of the columns below, and returns (status, body).
 Transport = Callable[[dict], tuple[int, str | None]]
 
+# So many bodies are held before they go on.
+RESPONSES_HELD = 16
 REQUEST_COLUMNS = ["latitude", "longitude", "current", "daily", "timezone"]
 
 
@@ -53,15 +55,16 @@ def fetch(requests: DataFrame, transport: Transport, connections: int = 8) -> Da
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            answers = []
-            for request in pdf[REQUEST_COLUMNS].to_dict("records"):
-                try:
-                    answers.append(transport(request))
-                except Exception as error:  # noqa: BLE001 - kept as a row of the error table
-                    answers.append((0, repr(error)))
-            yield pdf[["shard", "batch", "ids"]].assign(
-                status=[a[0] for a in answers], body=[a[1] for a in answers]
-            )
+            for at in range(0, len(pdf), RESPONSES_HELD):
+                some, answers = pdf.iloc[at : at + RESPONSES_HELD], []
+                for request in some[REQUEST_COLUMNS].to_dict("records"):
+                    try:
+                        answers.append(transport(request))
+                    except Exception as error:  # noqa: BLE001 - kept as a row of the error table
+                        answers.append((0, repr(error)))
+                yield some[["shard", "batch", "ids"]].assign(
+                    status=[a[0] for a in answers], body=[a[1] for a in answers]
+                )
 
     ids = requests.schema["ids"].dataType.simpleString()
     kinds = {c: requests.schema[c].dataType.simpleString() for c in ("shard", "batch")}
@@ -71,13 +74,22 @@ def fetch(requests: DataFrame, transport: Transport, connections: int = 8) -> Da
     )
 
 
+def _reason(responses: DataFrame) -> Column:
+    """Why a response is of no use; NULL if it is. A body is a list with a record per id, where there are ids."""
+    reason = F.when(~F.col("status").eqNullSafe(200), F.lit("status"))
+    if "ids" not in responses.columns:
+        return reason
+    listed = F.from_json("body", "array<string>")
+    return reason.when(listed.isNull(), F.lit("no list")).when(F.size(listed) != F.size("ids"), F.lit("number of records"))
+
+
 def succeeded(responses: DataFrame) -> DataFrame:
-    return responses.where(F.col("status") == 200)
+    return responses.where(_reason(responses).isNull())
 
 
 def failed(responses: DataFrame) -> DataFrame:
-    """The error table: every response that is not a 200."""
-    return responses.where(~F.col("status").eqNullSafe(200))
+    """The error table: every response that is not a 200 or not whole, with the ``reason``."""
+    return responses.withColumn("reason", _reason(responses)).where(F.col("reason").isNotNull())
 
 
 def records(responses: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """From message streams to stored current and forecast rows."""
 
 from collections.abc import Callable
+from functools import reduce
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,10 +32,10 @@ STORED_ROWS = {
 
 # Writes the rows of one batch to the table of the given name.
 Sink = Callable[[str, DataFrame, int], None]
-# Reads (locationID, time) of the readings that other batches stored for the given days, or for all days.
-Stored = Callable[[SparkSession, int, list[date] | None], DataFrame | None]
-# Batches with readings of more days than this are compared with all stored readings.
-MOST_DAYS = 1_000
+# Reads (locationID, time) of the readings that other batches stored for the given days.
+Stored = Callable[[SparkSession, int, list[date]], DataFrame | None]
+# So many days are listed in one read.
+DAYS_PER_READ = 300
 
 
 def with_shard(messages: DataFrame) -> DataFrame:
@@ -60,13 +61,16 @@ def folder_sink(root: str) -> Sink:
 def folder_readings(root: str) -> Stored:
     """The readings under ``root``; folders of other days are not even listed."""
 
-    def read(spark: SparkSession, batch_id: int, days: list[date] | None) -> DataFrame | None:
-        try:
-            return read_folder(spark, root, "current", days).where(F.col("batch_id") != batch_id).select(*KEY)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":  # nothing stored yet
-                return None
-            raise
+    def read(spark: SparkSession, batch_id: int, days: list[date]) -> DataFrame | None:
+        found = []
+        for at in range(0, len(days), DAYS_PER_READ):
+            try:
+                found.append(read_folder(spark, root, "current", days[at : at + DAYS_PER_READ]))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":  # nothing stored for these days
+                    raise
+        rows = reduce(DataFrame.unionByName, found) if found else None
+        return None if rows is None else rows.where(F.col("batch_id") != batch_id).select(*KEY)
 
     return read
 
@@ -81,15 +85,14 @@ def with_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn("day", F.to_date("time"))
 
 
-def days_of(rows: DataFrame) -> list[date] | None:
-    """The days of a batch; None if there are too many to name."""
-    days = [r.day for r in rows.select("day").dropna().distinct().limit(MOST_DAYS + 1).collect()]
-    return days if len(days) <= MOST_DAYS else None
+def days_of(rows: DataFrame) -> list[date]:
+    """The days of a batch; the calendar bounds their number."""
+    return sorted(r.day for r in rows.select("day").dropna().distinct().collect())
 
 
 def unseen(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
     """One row per (locationID, time), none that is stored."""
-    once = latest(rows, KEY, [F.col(c) for c in rows.columns if c not in KEY])
+    once = latest(rows, KEY, [F.col(c).asc_nulls_last() for c in rows.columns if c not in KEY])
     return once if stored is None else once.join(stored, KEY, "left_anti")
 
 
@@ -126,7 +129,33 @@ def ingest_to_folder(messages: DataFrame, root: str, checkpoint: str, available_
     return start_ingest(messages, checkpoint, folder_sink(root), folder_readings(root), available_now)
 
 
-def distinct_readings(stream: DataFrame, keys: list[str] = KEY, delay: str = "1 hour", time: str = "time") -> DataFrame:
-    """Drop readings that repeat within ``delay``; the state kept is bounded by the watermark."""
-    stamped = stream.withColumn(time, F.col(time).cast("timestamp"))
-    return stamped.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def start_distinct(
+    stream: DataFrame, root: str, checkpoint: str, keys: list[str] = KEY, time: str = "time", available_now: bool = False,
+) -> StreamingQuery:
+    """Store each reading once per key below ``root``, by day and batch, however late it comes.
+
+    A batch drops what repeats within it and what other batches stored for its days; NULL keys are equal to each
+    other. One that is tried again replaces its own rows. A root belongs to one checkpoint. Read it with
+    :func:`read_distinct`.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn(time, F.col(time).cast("timestamp")).withColumn("day", F.to_date(time))
+        once = latest(rows, keys, [F.col(c).asc_nulls_last() for c in rows.columns if c not in keys])
+        if batch_id:
+            stored = read_distinct(batch.sparkSession, root, T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())]))
+            inside = F.col("day").isin(days_of(rows)) | F.col("day").isNull()
+            known = stored.where((F.col("batch_id") < batch_id) & inside).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            once = once.join(known, same, "left_anti")
+        marked = once.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day", "batch_id").parquet(root)
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_distinct(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, which may name ``day`` and ``batch_id`` too."""
+    return spark.read.schema(schema).parquet(root).select(*schema.names)

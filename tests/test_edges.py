@@ -113,9 +113,9 @@ def test_conform_and_misfits(spark):
         "locationID long, temperature_2m double, visibility double",
     )
     got = [(r.locationID, r.temperature_2m and float(r.temperature_2m), r.visibility) for r in conform(rows, CURRENT_TABLE).orderBy("locationID").collect()]
-    assert got == [(1, 999.99, 1), (2, None, 2), (3, None, None), (4, None, None), (5, None, -2147483648)]
+    assert got == [(1, 999.99, 1), (2, None, 3), (3, None, None), (4, None, None), (5, None, None)]
     lost = {r.locationID: r.misfit for r in misfits(rows, CURRENT_TABLE).collect()}
-    assert lost == {2: ["temperature_2m"], 3: ["temperature_2m", "visibility"], 5: ["temperature_2m"]}
+    assert lost == {2: ["temperature_2m"], 3: ["temperature_2m", "visibility"], 5: ["temperature_2m", "visibility"]}
     text = spark.createDataFrame([("1.006",), ("x",)], "v string")
     assert [str(r.v) for r in conform(text, struct(v=T.DecimalType(5, 2))).collect()] == ["1.01", "None"]
 
@@ -183,6 +183,15 @@ def test_schema_guard_and_skipped_rows(spark):
     with pytest.raises(ValueError, match="c, d"):
         cluster.assemble(df, ["a", "c", "d"])
     assert cluster.assemble(df, ["a", "b"]).count() == 1 and cluster.incomplete(df, ["a", "b"]).count() == 1
+    gaps = spark.createDataFrame([(1.0, float("nan")), (2.0, 3.0), (None, 1.0)], "a double, b double")
+    assert cluster.assemble(gaps, ["a", "b"]).count() == 1 and cluster.incomplete(gaps, ["a", "b"]).count() == 2
+
+
+def test_centres_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "CENTRES_PER_BLOCK", 2)
+    given = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(7)], "label int, centre array<double>")
+    rows = spark.createDataFrame([([0.2, 1.0],), ([2.5, 0.0],), ([99.0, 0.0],)], "v array<double>")
+    assert sorted(r.prediction for r in cluster.assign_given(rows, "v", given).collect()) == [0, 2, 6]
 
 
 def test_kmeans(spark):
@@ -193,8 +202,6 @@ def test_kmeans(spark):
         assert [tuple(r) for r in got] == [(0, 0.0, 0.0, 20), (1, 1.0, 1.0, 20), (2, 2.0, 2.0, 20)]
     few = df.limit(2)
     assert cluster.assign_clusters(cluster.fit_clusters(few, ["a", "b"]), few).count() == 2
-    with pytest.raises(ValueError):
-        cluster.fit_clusters(df, ["a"], k=cluster.MOST_CENTRES + 1)
 
 
 def test_max_of_boolean(spark):

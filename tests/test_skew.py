@@ -140,12 +140,13 @@ def test_nearest_on_the_globe(spark):
     assert got[80] == got[81]
 
 
-def test_points_of_large_groups_are_split_and_whole(spark, nothing_small):
+def test_points_of_large_groups_are_split_and_whole(spark):
     rows = [(1, i, float(i), -float(i)) for i in range(500)] + [(2, 1000 + i, 0.0, 0.0) for i in range(5)]
     clustered = spark.createDataFrame(rows, "prediction int, locationID long, Longitude double, Latitude double")
-    got = cluster.cluster_points(clustered, ["prediction"], most=100).collect()
-    assert len([g for g in got if g.prediction == 1]) == 5 and len([g for g in got if g.prediction == 2]) == 1
-    assert all(len(g.points) < 200 for g in got)
+    got = cluster.cluster_points(clustered, ["prediction"], parts=5).collect()
+    assert len([g for g in got if g.prediction == 1]) == 5 and len([g for g in got if g.prediction == 2]) == 5
+    assert all(g.parts == 5 and p.locationID % 5 == g.part for g in got for p in g.points)
+    assert len(cluster.cluster_points(clustered, ["prediction"]).collect()) == 2
     assert sorted((g.prediction, *p) for g in got for p in g.points) == sorted(rows)
     assert all([p.locationID for p in g.points] == sorted(p.locationID for p in g.points) for g in got)
 

@@ -2,7 +2,7 @@
 
 import json
 import sys
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.operators.envelope import encode_messages
+from obsframe.operators.shards import shard_of
 from obsframe.plans.crawl import crawl
 from obsframe.schemas import CURRENT_TABLE, LOCATIONS_TABLE, struct
 from obsframe.sinks.jdbc import append_jdbc, jdbc_options, shard_rows
@@ -19,11 +20,11 @@ from obsframe.sinks.kafka import send_messages
 from obsframe.sinks.tables import create_tables, insert_locations, insert_rows
 from obsframe.sources.locations import read_locations
 from obsframe.sources.paged import page_rows, plan_pages, read_pages, read_table, register_paged_rest
-from obsframe.sources.requests import REQUEST_COLUMNS
+from obsframe.sources.requests import REQUEST_COLUMNS, failed, records
 from obsframe.sources.streams import kafka_messages, kafka_options, stored_messages
 from obsframe.sources.transports import StoredPages
 from obsframe.streaming.ingest import (
-    days_of, distinct_readings, folder_readings, ingest_to_folder, read_folder, start_ingest,
+    days_of, folder_readings, ingest_to_folder, read_distinct, read_folder, start_distinct, start_ingest, unseen,
 )
 from obsframe.workspace import shared_folder
 
@@ -208,7 +209,9 @@ def test_only_days_of_the_batch_are_listed(spark, tmp_path):
     assert len(read_folder(spark, root, "current", days).inputFiles()) == 2
     known = folder_readings(root)
     assert known(spark, 7, days).count() == 2 and known(spark, 0, days).count() == 0
-    assert known(spark, 7, [date(1999, 1, 1)]) is None and known(spark, 7, None).count() == 5
+    assert known(spark, 7, [date(1999, 1, 1)]) is None and known(spark, 7, []) is None
+    many = [date(2024, 5, 2)] + [date(1990, 1, 1) + timedelta(days=n) for n in range(700)] + [date(2024, 5, 4)]
+    assert known(spark, 7, many).count() == 2
     assert days_of(read_folder(spark, root, "current").where("day < '2024-05-02'")) == [date(2024, 5, 1)]
 
 
@@ -228,12 +231,43 @@ def test_ingest_with_other_sinks(spark, tmp_path):
 def test_distinct_readings(spark, tmp_path):
     rows = spark.createDataFrame([(1, "2024-05-01 10:15:00"), (1, "2024-05-01 10:15:00"), (1, "2024-05-01 10:30:00"), (2, "2024-05-01 10:15:00")],
                                  "locationID int, time string").withColumn("time", F.col("time").cast("timestamp_ntz"))
-    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    late = rows.limit(1).selectExpr("locationID", "CAST('2024-04-30 06:15:00' AS TIMESTAMP_NTZ) AS time")
+    none = rows.limit(1).selectExpr("locationID", "CAST(NULL AS TIMESTAMP_NTZ) AS time")
+    for some in (rows, late, rows.unionByName(late), none, none):
+        some.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = distinct_readings(stream).writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert spark.table("seen").count() == 3
+    start_distinct(stream, str(tmp_path / "out"), str(tmp_path / "progress"), available_now=True).awaitTermination()
+    assert read_distinct(spark, str(tmp_path / "out"), rows.schema).count() == 5
 
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_incomplete_pages_fail(spark):
+    record = T.StructType([T.StructField("id", T.IntegerType())])
+    for body in ('{"list": [{"id": 1}', '{"msg": "x"}', "<html>", None):
+        pages = spark.createDataFrame([(0, 200, '{"list": [{"id": 1}, {"id": 2}]}'), (1, 200, body)], "page bigint, status int, body string")
+        with pytest.raises(Exception, match="page 1"):
+            page_rows(pages, record).collect()
+    assert page_rows(pages.where("page = 0"), record).count() == 2
+
+
+def test_incomplete_responses_are_failures(spark):
+    rows = [(1, '["a", "b"]'), (2, '{"a": 1}'), (3, '["a"]'), (4, "text"), (5, '["a", "b", "c"]'), (6, None)]
+    responses = spark.createDataFrame([(1, n, [n, 10 + n], 200, body) for n, body in rows], "shard int, batch int, ids array<int>, status int, body string")
+    assert sorted((r.id, r.record) for r in records(responses).collect()) == [(1, "a"), (11, "b")]
+    assert {r.batch: r.reason for r in failed(responses).collect()} == {
+        2: "no list", 3: "number of records", 4: "no list", 5: "number of records", 6: "no list",
+    }
+
+
+def test_unknown_shards_fail(spark):
+    for value in ("weather_3", None):
+        with pytest.raises(Exception, match="unknown topic"):
+            spark.createDataFrame([(value,)], "t string").select(shard_of(F.col("t"))).collect()
+
+
+def test_a_reading_with_a_value_goes_first(spark):
+    rows = spark.createDataFrame([(1, "a", None), (1, "a", 20.0)], "locationID int, time string, value double")
+    assert [r.value for r in unseen(rows, None).collect()] == [20.0]
