@@ -1,6 +1,8 @@
 """Joins to a table with few rows per key, whatever its size and however skewed the facts."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,11 +53,26 @@ def lookup_join(
         return table.join(F.broadcast(facts), on).select(
             *facts.columns, *[c for c in table.columns if c not in on]
         )
+    hot = None
     if hot_rows is None:
-        hot_rows = table.join(F.broadcast(hot_keys(facts, on)), on, "left_semi")
+        hot = materialize(hot_keys(facts, on).dropna(), "hot-keys")
+        hot_rows = table.join(F.broadcast(hot), on, "left_semi")
     hot_rows = materialize(hot_rows, "hot-rows")
     if not is_small(hot_rows):
         return facts.join(table, on, how)
-    # A hot key without a row in the table is left to the shuffle, where it meets nothing.
-    rest = facts.join(F.broadcast(hot_rows.select(*on).distinct()), on, "left_anti")
-    return facts.join(F.broadcast(hot_rows), on).unionByName(rest.join(table, on, how))
+    met = hot_rows.select(*on).distinct()
+    hot = met if hot is None else hot
+    keyed = facts.dropna(subset=on)
+    rest = keyed.join(F.broadcast(hot), on, "left_anti")
+    found = facts.join(F.broadcast(hot_rows), on).unionByName(rest.join(table, on, how))
+    if how == "inner":
+        return found
+    # What can meet nothing is not shuffled: NULL keys, and hot keys without a row in the table.
+    lone = facts.where(_any_null(on))
+    lone = lone.unionByName(keyed.join(F.broadcast(hot.join(F.broadcast(met), on, "left_anti")), on, "left_semi"))
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in table.schema.fields if f.name not in on}
+    return found.unionByName(lone.withColumns(empty) if empty else lone)
+
+
+def _any_null(columns: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
