@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsframe.functions.text import address_part, grid
 from obsframe.operators.lookup import lookup_join
@@ -38,7 +39,9 @@ def incomplete(df: DataFrame, features: list[str]) -> DataFrame:
     require_columns(df, features)
     gap = F.lit(False)
     for c in features:
-        gap = gap | F.col(c).isNull() | F.isnan(c)
+        gap = gap | F.col(c).isNull()
+        if isinstance(df.schema[c].dataType, T.FractionalType) and not isinstance(df.schema[c].dataType, T.DecimalType):
+            gap = gap | F.isnan(c)
     return df.where(gap)
 
 
