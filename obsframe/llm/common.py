@@ -36,6 +36,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
             total += length
         if batch.num_rows > start:
             yield batch.slice(start)
+        del batch
+        pa.default_memory_pool().release_unused()  # workers that wait for the next stage hold no batches
 
 
 def schema_with(df: DataFrame, added: dict[str, str]) -> T.StructType:

@@ -17,8 +17,8 @@ SAMPLE_ROWS, SAMPLE_BYTES, CALIBRATE = 3_000, 3 << 20, 3
 WINDOW, STRIDE = 32, 28
 TABLE_BITS, PRIOR, INPUTS, HIDDEN = 17, 5.0, 6, 6
 EPOCHS, LEAST_STEPS, BATCH, RATE, SEED = 4, 600, 512, 0.02, 7
-MOST_WORDS = 400_000
-BLOCK_BYTES = 2 << 20
+MOST_WORDS = 150_000
+BLOCK_BYTES = 1 << 20
 THRESHOLD = 0.3
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PLACES = ODD ** np.arange(1, 65, dtype=np.uint64)  # of a character in a word, modulo 2**64
