@@ -68,14 +68,33 @@ def labelled(rows: DataFrame, label: str, text: str) -> DataFrame:
     return hashed.where(F.col("label").isNotNull() & F.col("bytes").isNotNull())
 
 
+# A text longer than one in so many parts of a label's sample (or, of fewer texts, its even part) is learned from by
+# excerpts, so that a long text neither ends the sample nor is left out of it.
+PARTS, EXCERPTS = 16, 8
+
+
 def sample_texts(texts: DataFrame, known: DataFrame, most_rows: int, most_bytes: int, text: str = "text") -> pa.Table:
     """(label, text) of distinct texts: per label of ``known`` (label, hash, bytes) the first ones by hash, up to so
-    many rows and bytes. Only the chosen ones are read whole, and nothing but hashes is shuffled for the choice."""
-    order = Window.partitionBy("label").orderBy("hash")
+    many rows and bytes. Only the chosen ones are read whole, and nothing but hashes is shuffled for the choice.
+
+    A long text counts, and comes, as EXCERPTS evenly spread parts, together ``most_bytes`` by PARTS or by the number
+    of the label's texts if that is less; so a label with any text has a sample."""
+    order, all_ = Window.partitionBy("label").orderBy("hash"), Window.partitionBy("label")
     first = known.distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most_rows)
-    chosen = first.withColumn("total", F.sum("bytes").over(order)).where(F.col("total") <= most_bytes)
-    pairs = texts.sparkSession.createDataFrame(chosen.select("label", "hash").collect(), chosen.select("label", "hash").schema)
+    part = (F.lit(most_bytes) / F.least(F.lit(PARTS), F.count("*").over(all_))).cast("bigint")
+    first = first.withColumn("kept", F.least("bytes", part))
+    chosen = first.withColumn("total", F.sum("kept").over(order)).where(F.col("total") <= most_bytes).select("label", "hash", "bytes", "kept")
+    pairs = texts.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
     hashed = texts.select(F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
     # At most ``most_rows`` rows per label are broadcast.
-    found = hashed.join(F.broadcast(pairs), "hash").dropDuplicates(["label", "hash"]).select("label", "text", "hash").toArrow()
+    found = hashed.join(F.broadcast(pairs), "hash").dropDuplicates(["label", "hash"])
+    found = found.select("label", F.when(F.col("kept") < F.col("bytes"), excerpts()).otherwise(F.col("text")).alias("text"), "hash").toArrow()
     return found.sort_by([("label", "ascending"), ("hash", "ascending")]).drop_columns(["hash"])
+
+
+def excerpts() -> Column:
+    """Of ``text``, evenly spread parts that together have about ``kept`` of its ``bytes``."""
+    size = F.char_length("text")
+    width = F.greatest(F.lit(1), F.floor(size * F.col("kept") / F.col("bytes") / EXCERPTS)).cast("int")
+    starts = [F.floor((size - width) * (n / (EXCERPTS - 1))).cast("int") + 1 for n in range(EXCERPTS)]
+    return F.concat_ws(" ", *[F.substr(F.col("text"), s, width) for s in starts])
