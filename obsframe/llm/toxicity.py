@@ -14,7 +14,8 @@ from obsframe.llm.pretokens import ranges
 
 # The network learns from a bounded sample: per label so many texts and bytes at most; every third one calibrates.
 SAMPLE_ROWS, SAMPLE_BYTES, CALIBRATE = 3_000, 3 << 20, 3
-WINDOW, STRIDE = 32, 28
+# A passage of up to WINDOW - STRIDE + 1 = 20 words is whole in one window at least, wherever it stands.
+WINDOW, STRIDE = 32, 13
 TABLE_BITS, PRIOR, INPUTS, HIDDEN = 17, 5.0, 6, 6
 EPOCHS, LEAST_STEPS, BATCH, RATE, SEED = 4, 600, 512, 0.02, 7
 MOST_WORDS = 150_000
@@ -76,7 +77,7 @@ class Vocabulary:
         return list(self.number)[start:]
 
     def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(windows of word numbers, windows per text): all overlapping windows of every text, the last one filled up.
+        """(windows of word numbers, windows per text): one every STRIDE words of every text, the last one filled up.
         A text without words has none."""
         found = [np.fromiter(map(self.number.__getitem__, t.lower().split()), np.int32) for t in texts]
         counts = [max(1, -(-(len(w) - WINDOW) // STRIDE) + 1) if len(w) else 0 for w in found]
@@ -336,7 +337,7 @@ def learn(texts: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 def score(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> DataFrame:
     """All columns of ``docs``, and ``toxic_score`` (0 to 1); a column of this name is replaced.
 
-    The score takes in all overlapping windows of the whole text. A text that is NULL or has no words has score 0, and
+    The score takes in the whole text, by windows of WINDOW words that begin every STRIDE words. A text that is NULL or has no words has score 0, and
     so have all texts where there was nothing to learn from.
     """
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "toxic_score"])

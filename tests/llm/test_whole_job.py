@@ -1,5 +1,6 @@
 """Long texts, passages at any place and short pieces are taken whole."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from obsframe.llm import common, language, toxicity
@@ -26,3 +27,26 @@ def test_toxicity_learns_from_a_label_with_one_long_text(spark):
     rows = [(n, f"calm words number {n}", 0) for n in range(20)] + [(99, "vile awful words " * 300_000, 1)]
     table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     assert toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic")) is not None
+
+
+def test_short_passages_are_whole_in_a_window():
+    clean = [f"w{n}" for n in range(200)]
+    passage = [f"bad{n}" for n in range(20)]
+    for at in range(len(clean) + 1):
+        vocabulary = toxicity.Vocabulary()
+        windows, _ = vocabulary.windows([" ".join(clean[:at] + passage + clean[at:])])
+        numbers = [vocabulary.number[w] for w in passage]
+        assert np.isin(windows, numbers).sum(axis=1).max() == len(passage), at
+
+
+def test_passage_is_found_at_every_offset():
+    rng = np.random.default_rng(3)
+    calm, vile = [f"calm{n}" for n in range(300)], [f"vile{n}" for n in range(40)]
+    clean = [" ".join(rng.choice(calm, 60)) for _ in range(150)]
+    toxic = [" ".join([*rng.choice(calm, 10), *rng.choice(vile, 20), *rng.choice(calm, 2)]) for _ in range(150)]
+    table = language.letter_table()
+    scorer = toxicity.Scorer(table, *toxicity.train([clean, toxic], table))
+    base, passage = list(rng.choice(calm, 400)), list(rng.choice(vile, 20))
+    highest = scorer.summaries([" ".join(base[:at] + passage + base[at:]) for at in range(200, 200 + 2 * toxicity.WINDOW)])[:, 0]
+    assert highest.min() > scorer.summaries([" ".join(base)])[0, 0] + 1
+    assert highest.max() - highest.min() < 1.5
