@@ -1,9 +1,10 @@
 """Long texts, passages at any place and short pieces are taken whole."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from obsframe.llm import common, language, toxicity
+from obsframe.llm import common, language, packing, toxicity
 
 
 def test_long_texts_leave_no_label_without_a_sample(spark):
@@ -50,3 +51,22 @@ def test_passage_is_found_at_every_offset():
     highest = scorer.summaries([" ".join(base[:at] + passage + base[at:]) for at in range(200, 200 + 2 * toxicity.WINDOW)])[:, 0]
     assert highest.min() > scorer.summaries([" ".join(base)])[0, 0] + 1
     assert highest.max() - highest.min() < 1.5
+
+
+@pytest.mark.parametrize("length", [3, 17, 33])
+def test_plan_wastes_little_on_short_pieces(length):
+    unit, rows = packing.best_plan({length: 50_000})
+    assert max(r[3] + r[4] for r in rows) <= -(-50_000 // (packing.CAPACITY // length)) + 1
+
+
+def test_plan_of_every_length_stays_near_the_least():
+    rng = np.random.default_rng(8)
+    histogram = dict(zip(range(1, 2049), rng.integers(1, 60, 2048).tolist())) | {2048: 5000, 33: 20_000}
+    unit, rows = packing.best_plan(histogram)
+    load = np.zeros(max(r[3] + r[4] for r in rows), np.int64)
+    for size, first, end, start, times in rows:
+        ranks = np.arange(end - first)
+        np.add.at(load, start + ranks % times, size * unit)
+    assert load.max() <= 2048
+    assert sum(r[2] - r[1] for r in rows) == sum(histogram.values())
+    assert len(load) <= 1.015 * sum(k * n for k, n in histogram.items()) / 2048
