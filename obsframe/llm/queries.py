@@ -1,7 +1,9 @@
 """One query per operator, over its whole table, and SQL for those that SQL can express."""
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from obsframe.llm.context_tree import score
 from obsframe.llm.hamming import sign_code, top_k
 from obsframe.llm.language import identify, learn
 from obsframe.llm.packing import pack
+from obsframe.llm.repeats import collapse_runs
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
 from obsframe.llm.warc import archive_pages
@@ -154,3 +157,27 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def planted(key: int | None, words: int) -> np.ndarray | None:
+    """Word numbers to read: one document in ten, by hash of its id, repeats a stretch up to its end."""
+    h = 1 if key is None else zlib.crc32(str(key).encode())
+    if h % 10 or not words:
+        return None
+    g = h // 10
+    begin = g % words
+    period = 1 + (words - begin) // (3 + g % 8)
+    at = np.arange(words)
+    return np.where(at < begin, at, begin + (at - begin) % period)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse_runs(given(spark, sf_dir, "documents"), edit=planted)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("longest.length * 1000 div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
