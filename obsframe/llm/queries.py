@@ -1,5 +1,6 @@
 """One query per operator, over its whole table, and SQL for those that SQL can express."""
 
+import hashlib
 import zlib
 from collections.abc import Callable
 
@@ -18,6 +19,8 @@ from obsframe.llm.packing import pack
 from obsframe.llm.repeats import collapse_runs
 from obsframe.llm.sharding import shard_by_bytes
 from obsframe.llm.simhash import near_duplicates
+from obsframe.llm.site_tree import extract
+from obsframe.llm.vector_codes import code_vectors
 from obsframe.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +184,57 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = code_vectors(given(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    known = hashlib.sha256(books.text().encode()).hexdigest() if books else None
+    return coded.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(known).cast("string").alias("codebooks_sha256"),
+    )
+
+
+def nearest_sql(books: str) -> str:
+    """Per vector and part the nearest entry of a table (part, entry, e), as distance * 64 + entry."""
+    return f"""
+    SELECT p.vec_id, p.part, any_value(p.x) AS x,
+           min(list_sum(list_transform(list_zip(p.x, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + c.entry) AS m
+    FROM p JOIN {books} c USING (part) GROUP BY p.vec_id, p.part"""
+
+
+def moved_sql(books: str, near: str) -> str:
+    """The entries after a round; a sum less its non-negative remainder is divided without rounding."""
+    return f"""
+    SELECT c.part, c.entry, coalesce(n.e, c.e) AS e FROM {books} c LEFT JOIN (
+        SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS e FROM (
+            SELECT part, m % 64 AS entry, i, sum(x[i])::BIGINT AS s, count(*)::BIGINT AS n
+            FROM {near}, (SELECT unnest(range(1, 5)) AS i) GROUP BY ALL
+        ) GROUP BY part, entry
+    ) n USING (part, entry)"""
+
+
+ORACLE["op12_vector_codes"] = f"""
+WITH k AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+    SELECT vec_id, part::BIGINT AS part, v[part * 4 + 1 : part * 4 + 4] AS x FROM k, (SELECT unnest(range(16)) AS part)
+), c0 AS MATERIALIZED (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS e FROM p
+    QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= 64
+), a1 AS MATERIALIZED ({nearest_sql("c0")}), c1 AS MATERIALIZED ({moved_sql("c0", "a1")}),
+a2 AS MATERIALIZED ({nearest_sql("c1")}), c2 AS MATERIALIZED ({moved_sql("c1", "a2")}),
+a3 AS MATERIALIZED ({nearest_sql("c2")}),
+r AS (SELECT vec_id, string_agg(printf('%02x', m % 64), '' ORDER BY part) AS code, sum(m // 64)::BIGINT AS error FROM a3 GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM c2) AS codebooks_sha256
+FROM r JOIN k USING (vec_id)
+"""
+
+
+@query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(given(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
