@@ -32,7 +32,60 @@ TOPIC = f"CASE WHEN ({EVENT_SHARD}) = 1 THEN 'weather_1' ELSE 'weather_2' END"
 
 ORDER_DAYS = """(SELECT *, unnest(generate_series(0, o_orderkey % 10)) AS i FROM orders)"""
 
+def nearest_sql(points: str, centres: str, features: list[str]) -> str:
+    """Each point with the label of the first of its nearest centres."""
+    apart = " + ".join(f'(p."{f}" - c."{f}") * (p."{f}" - c."{f}")' for f in features)
+    return f"""SELECT any_value(p) AS p, min({{'d': {apart}, 'label': c.label}}).label AS label
+        FROM {points} p, {centres} c GROUP BY p.row"""
+
+
+def moved_sql(centres: str, near: str, features: list[str]) -> str:
+    """Centres after a round: means in units of 2^-20, which add up exactly."""
+    sums = ", ".join(f'sum(floor(p."{f}" * 1048576 + 0.5)::BIGINT)::DOUBLE / count(*) / 1048576 AS "{f}"' for f in features)
+    return f"""SELECT label, {', '.join(f'coalesce(m."{f}", c."{f}") AS "{f}"' for f in features)}
+        FROM {centres} c LEFT JOIN (SELECT label, {sums} FROM {near} GROUP BY label) m USING (label)"""
+
+
+def kmeans_sql(k: int, rounds: int, features: list[str]) -> str:
+    names = ", ".join(f'"{f}"' for f in features)
+    steps = "".join(
+        f", a{n} AS MATERIALIZED ({nearest_sql('points', f'c{n}', features)}), c{n + 1} AS MATERIALIZED ({moved_sql(f'c{n}', f'a{n}', features)})"
+        for n in range(rounds)
+    )
+    return f"""WITH points AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, md5(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)) AS hash,
+                   {', '.join(f'CAST({FORECAST[f]} AS DOUBLE) AS "{f}"' for f in features)} FROM lineitem
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY min(hash)) - 1 AS label, {names} FROM points GROUP BY {names} QUALIFY label < {k}
+        ){steps}, found AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {names}) - 1 AS label, {names} FROM c{rounds}),
+        sizes AS (SELECT label, count(*) AS n FROM ({nearest_sql('points', 'found', features)}) GROUP BY label)
+        SELECT CAST(label AS INT) AS prediction, n, {', '.join(f'round("{f}", 9) AS "{f}"' for f in features)} FROM found JOIN sizes USING (label)"""
+
+
+# The three centres of q_incremental_daily.
+GIVEN_CENTRES = ", ".join(f"({n}, {n * 8}.0, {n * 3000 - 1000}.0, {n * 100}.0, 20.0, {n * 100}.0, 30.0)" for n in range(3))
+
+DAILY_FEATURES = ["Longitude", "Latitude", *DAILY_TEMPERATURES]
+
 ORACLE = {
+    "q_paged_filter": f"""SELECT event_id, strftime(ts, {MICROS}) AS ts, event_type, value FROM events
+        WHERE event_id >= (SELECT max(event_id) // 2 FROM events)""",
+    "q_history_sync": f"""SELECT row_number() OVER (ORDER BY event_id) - 1 AS position, event_id, strftime(ts, {MICROS}) AS ts, event_type, value
+        FROM events""",
+    "q_kmeans_centres": kmeans_sql(4, 3, DAILY_FEATURES),
+    "q_summary_states": f"""SELECT strftime(l_shipdate, {MICROS}) AS time, l_linenumber AS prediction, bool_or(l_returnflag = 'R') AS avg_is_day,
+        {', '.join(f"{r4(f'avg({READING[m]})')} AS avg_{m}" for m in CASUAL_METRICS if m != 'is_day')} FROM lineitem GROUP BY 1, 2""",
+    "q_incremental_daily": f"""WITH latest AS (
+            SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts DESC, event_id DESC) AS v FROM events
+        ), points AS MATERIALIZED (
+            SELECT event_id AS row, date_trunc('day', ts) AS day, CAST(c_nationkey AS DOUBLE) AS "Longitude", c_acctbal AS "Latitude",
+                   value + 1 AS temperature_2m_max, value AS temperature_2m_min, value * 2 AS apparent_temperature_max,
+                   CASE WHEN event_type = 'error' THEN 0.0 ELSE value END AS apparent_temperature_min
+            FROM latest JOIN customer ON user_id = c_custkey WHERE v = 1
+        ), centres(label, {', '.join(f'"{f}"' for f in DAILY_FEATURES)}) AS (VALUES {GIVEN_CENTRES})
+        SELECT strftime(p.day, {MICROS}) AS time, label AS prediction, {', '.join(f"{r4(f'avg(p.{t})')} AS {t}" for t in DAILY_TEMPERATURES)},
+               {r4('avg(p."Longitude")')} AS "centroid_Longitude", {r4('avg(p."Latitude")')} AS "centroid_Latitude"
+        FROM ({nearest_sql('points', 'centres', DAILY_FEATURES)}) GROUP BY 1, 2""",
     "q_location_csv": f"SELECT \"Name\", \"Latitude\", \"Longitude\", \"Address\", id FROM {PLACES}",
     "q_shard_split": f"SELECT id, position, shard, seat FROM {SHARDS}",
     "q_shard_sizes": f"SELECT shard, count(*) AS places, min(id) AS first_id FROM {SHARDS} GROUP BY shard",

@@ -21,18 +21,23 @@ from obsframe.operators.correlate import spearman_long
 from obsframe.operators.envelope import (
     current_rows, encode_messages, entries, forecast_rows, parse_messages, tag_records, valid_messages,
 )
+from obsframe.operators.kmeans import Centres, assign_centres, fit_centres
 from obsframe.operators.lookup import lookup_join
 from obsframe.operators.nearest import nearest_join
 from obsframe.operators.places import locate
 from obsframe.operators.position import with_position
 from obsframe.operators.shards import shard_sizes, split_shards, table_of, topic_of, union_shards
+from obsframe.operators.states import mean_of, merge_states, partial_states
 from obsframe.operators.versions import insert_ignore, latest_forecasts
 from obsframe.plans.crawl import crawl
+from obsframe.plans.incremental import Store, add_forecasts, daily_summary
 from obsframe.plans.jobs import daily_features, run_once
 from obsframe.schemas import CASUAL_METRICS, CURRENT_TABLE, DAILY_TEMPERATURES, FULL_METRICS, ROWS_PER_PAGE, TIMEZONE
 from obsframe.sinks.tables import append_by_shard, create_tables, insert_rows
+from obsframe.sources.history import read_history, sync
 from obsframe.sources.locations import read_locations
 from obsframe.sources.paged import page_rows, read_pages, read_table, register_paged_rest
+from obsframe.sources.records import page_index, read_records, register_paged_records
 from obsframe.sources.requests import build_requests, failed, profile, succeeded
 from obsframe.sources.streams import stored_messages
 from obsframe.sources.transports import StoredPages
@@ -140,6 +145,38 @@ def q_rest_table(spark, sf):
     return read_table(spark, "location", path=folder)
 
 
+EVENT_RECORD = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.StringType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+
+
+def _event_records(spark, sf):
+    return given(spark, sf, "events").select("event_id", F.date_format("ts", MICROS).alias("ts"), "event_type", "value")
+
+
+def q_paged_filter(spark, sf):
+    """A filtered read that fetches the pages an index of the table's last whole read points to."""
+    folder = store_pages(_event_records(spark, sf), "event_id")
+    register_paged_records(spark, _open_stored_pages)
+    whole = materialize(read_records(spark, EVENT_RECORD, path=folder), "event-records")
+    middle = whole.agg(F.min("ts"), F.max("event_id")).first()
+    index = page_index(whole, ["event_id", "ts"])
+    rows = read_records(spark, EVENT_RECORD, index, path=folder)
+    return rows.where((F.col("event_id") >= middle[1] // 2) & (F.col("ts") >= middle[0])).drop("position")
+
+
+def q_history_sync(spark, sf):
+    """A copy of a paged table that grows from two thirds to the whole between two reads."""
+    events = _event_records(spark, sf)
+    most = events.agg(F.max("event_id")).first()[0]
+    copy = new_path(spark, "history")
+    register_paged_records(spark, _open_stored_pages)
+    for rows in (events.where(F.col("event_id") <= most * 2 // 3), events):
+        sync(spark, EVENT_RECORD, copy, path=store_pages(rows, "event_id"))
+    return read_history(spark, EVENT_RECORD, copy)
+
+
 def q_profile_select(spark, sf):
     lineitem = given(spark, sf, "lineitem")
     every = select(lineitem, {m: READING.get(m, "l_orderkey") for m in FULL_METRICS}, "l_partkey")
@@ -301,6 +338,53 @@ def q_kmeans_current(spark, sf):
     return _kmeans_check(select(given(spark, sf, "lineitem"), READING), cluster.CURRENT_FEATURES)
 
 
+def q_kmeans_centres(spark, sf):
+    """Centres after three rounds from seeds by hash, and how many rows are nearest to each."""
+    rows = select(given(spark, sf, "lineitem"), {**FORECAST, "key": "l_orderkey * 10 + l_linenumber"})
+    rows = materialize(rows, "kmeans-rows")
+    found = fit_centres(rows, cluster.DAILY_FEATURES, 4, "key", rounds=3)
+    sizes = assign_centres(rows, found).groupBy("prediction").agg(F.count("*").alias("n"))
+    centres = spark.createDataFrame([(i, *c) for i, c in enumerate(found.values)], ["prediction", *found.features])
+    return centres.join(F.broadcast(sizes), "prediction").select(
+        F.col("prediction").cast("int").alias("prediction"), "n", *[F.round(f, 9).alias(f) for f in found.features]
+    )
+
+
+def q_summary_states(spark, sf):
+    """Means of three parts of a table, from the merged states of each."""
+    flags, means = ["is_day"], [m for m in CASUAL_METRICS if m != "is_day"]
+    rows = select(
+        given(spark, sf, "lineitem"),
+        {**READING, "is_day": "l_returnflag = 'R'", "time": "l_shipdate", "prediction": "l_linenumber", "part": "l_returnflag"},
+    )
+    by, path = ["time", "prediction"], new_path(spark, "states")
+    for part in [r.part for r in rows.select("part").distinct().collect()]:
+        partial_states(rows.where(F.col("part") == part), by, means, flags).write.mode("append").parquet(path)
+    merged = merge_states(spark.read.parquet(path), by, means, flags)
+    return merged.select(
+        F.date_format("time", MICROS).alias("time"), "prediction", F.col("is_day_any").alias("avg_is_day"),
+        *[r4(mean_of(m)).alias(f"avg_{m}") for m in means],
+    )
+
+
+GIVEN_CENTRES = [[float(n * 8), float(n * 3000 - 1000), float(n * 100), 20.0, 100.0 * n, 30.0] for n in range(3)]
+
+
+def q_incremental_daily(spark, sf):
+    """Summaries by day and nearest of three given centres, from two runs, the second with later versions and days."""
+    wire = typed(daily_wire(spark, sf), "daily")
+    versions = wire.withColumns({"shard": F.lit(1), "apparent_temperature_min": F.coalesce("apparent_temperature_min", F.lit(0.0))})
+    store = Store(spark, new_path(spark, "store"))
+    store.keep("daily", Centres(cluster.DAILY_FEATURES, GIVEN_CENTRES))
+    cut = versions.agg(F.expr("timestamp_micros(cast(avg(unix_micros(time_created)) as bigint))")).first()[0]
+    for run in (versions.where(F.col("time_created") < cut), versions.where(F.col("time_created") >= cut)):
+        add_forecasts(store, run, places(spark, sf))
+    return daily_summary(store).select(
+        F.date_format("time", MICROS).alias("time"), "prediction",
+        *[r4(c).alias(c) for c in (*DAILY_TEMPERATURES, "centroid_Longitude", "centroid_Latitude")],
+    )
+
+
 def q_cluster_summary_daily(spark, sf):
     clustered = select(given(spark, sf, "lineitem"), {**FORECAST, "time": "l_shipdate", "prediction": "l_linenumber"})
     summary = cluster.summarize_daily(clustered)
