@@ -1,12 +1,16 @@
 """Sequences of bounded length by cutting-stock column generation."""
 
+import json
 import math
 import zlib
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,11 +19,8 @@ from obsframe.llm.pretokens import Words, ranges
 from obsframe.workspace import materialize
 
 CAPACITY, SALTS = 2048, 256
-# Lengths are planned exactly and in these coarser units, where the linear program has few sizes; the better plan counts.
-UNIT, COARSE = 1, 16
-GAP = 5e-4
-# A greedy plan this near to the least is taken as it is; else the linear program has so many steps, and the better one counts.
-NEAR, STEPS, COARSE_SIZES = 2e-3, 400, 128
+# The linear program ends when no plan can need a smaller share than this of its sequences, or fewer whole ones.
+GAP = 1e-5
 BLOCK_BYTES = 8 << 20
 
 
@@ -45,33 +46,78 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), pattern
 
 
+def fullest(sizes: list[int], capacity: int) -> list[int]:
+    """The sizes of the pattern that fills the most of ``capacity`` and holds the largest size: the knapsack in which
+    each size is worth itself. What sums can be reached is one number, a bit per sum."""
+    reached, room = 1, capacity - sizes[-1]
+    mask = (1 << room + 1) - 1
+    for size in sizes:
+        if size > room:
+            break
+        step = size
+        while step <= room:
+            reached |= reached << step & mask
+            step *= 2
+    left, found = reached.bit_length() - 1, [sizes[-1]]
+    at = bisect_right(sizes, left) - 1
+    while left:
+        while sizes[at] > left or not reached >> left - sizes[at] & 1:
+            at -= 1
+        found.append(sizes[at])
+        left -= sizes[at]
+    return found
+
+
+def begin(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(patterns as columns, how often each): a basis of the linear program that meets the demand.
+
+    As long as patterns can be full, a size is worth its share of the capacity, so these values price the first
+    columns. Each is used until a size is met; that size is left out of the next, so the basis is triangular."""
+    basis, amount, rest = np.zeros((len(sizes), len(sizes))), np.zeros(len(sizes)), demand.astype(np.float64)
+    place = {s: n for n, s in enumerate(sizes.tolist())}
+    open_ = sizes.tolist()
+    while open_:
+        counts = Counter(fullest(open_, capacity))
+        used = np.array([place[s] for s in counts])
+        each = np.array(list(counts.values()), np.float64)
+        ratio = rest[used] / each
+        met = int(used[ratio.argmin()])
+        rest[used] = np.maximum(rest[used] - ratio.min() * each, 0)
+        basis[used, met], amount[met] = each, ratio.min()
+        open_.pop(bisect_left(open_, int(sizes[met])))
+    return basis, amount
+
+
 def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(patterns, how often each): the linear program of fewest sequences, by column generation.
 
-    ``sizes`` rise, and ``demand`` has as many. The basis starts with one size per pattern; the dual values price new
-    patterns until none is worth more than ``1 + GAP`` sequences, as then no plan needs fewer than the share
-    1 / (1 + GAP) of these, or for STEPS steps if there are many sizes. Every basis on the way meets the demand.
-    """
-    m = len(sizes)
-    patterns = np.diag(capacity // sizes).astype(np.float64)
-    inverse = np.diag(1.0 / np.diag(patterns))
-    amount = inverse @ demand
-    for _ in range(min(40 * m, STEPS) if m > COARSE_SIZES else 40 * m):
-        value, column = price(inverse.sum(axis=0), sizes, capacity)
-        if value <= 1 + GAP:
+    ``sizes`` rise, and ``demand`` has as many. From the basis of :func:`begin` on, the dual values price a new pattern
+    by the knapsack; it takes the place of the one that runs out first. A pattern worth v says that no plan needs
+    fewer than 1 / v of the sequences, and no plan needs fewer than the pieces fill. The search ends when that leaves
+    nothing to gain: GAP, or not one whole sequence."""
+    basis, amount = begin(sizes, demand, capacity)
+    least = float((sizes * demand).sum()) / capacity
+    inverse = None
+    while True:
+        total = float(amount.sum())
+        if total <= (1 + GAP) * least or math.ceil(total - 1e-6) <= math.ceil(least - 1e-6):
             break
+        if inverse is None:
+            inverse = np.linalg.inv(basis)
+        value, column = price(inverse.sum(axis=0), sizes, capacity)
+        least = max(least, total / value)
         change = inverse @ column
         rises = change > 1e-9
-        if not rises.any():
+        if value <= 1 + 1e-9 or not rises.any():
             break
         ratio = np.where(rises, amount, np.inf) / np.where(rises, change, 1)
         out = int(ratio.argmin())
-        patterns[:, out] = column
+        basis[:, out] = column
         pivot = inverse[out] / change[out]
         inverse -= np.outer(change, pivot)
         inverse[out] = pivot
         amount = np.maximum(inverse @ demand, 0)
-    return patterns.T.astype(np.int64), amount
+    return np.rint(basis.T).astype(np.int64), amount
 
 
 def first_fit(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[np.ndarray]:
@@ -110,17 +156,17 @@ def filling(here: np.ndarray, room: int, least: int, items: int) -> list[int] |
 
 
 def full_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[list[tuple[np.ndarray, int]], np.ndarray]:
-    """(patterns and how often each, what is left of the demand): those that lack at most GAP of the capacity, and
-    pieces beside which nothing fits, so that the linear program has few sizes."""
-    slack, found, rest = int(GAP * capacity), [], demand.copy()
+    """(patterns and how often each, what is left of the demand): of the pieces that rounding leaves, those that
+    together fill the capacity, and those beside which nothing fits."""
+    found, rest = [], demand.copy()
     here, place = np.zeros(capacity + 1, bool), {s: n for n, s in enumerate(sizes.tolist())}
-    here[sizes] = True
+    here[sizes[rest > 0]] = True
     for size in sizes[::-1].tolist():
         copies = 1
         while here[size] and copies <= min(capacity // size, int(rest[place[size]])):
             room = capacity - copies * size
             alone = not here[: room + 1].any()
-            more = [] if alone else filling(here, room, room - slack, 3)
+            more = [] if alone else filling(here, room, room, 3)
             if more is None:
                 copies += 1
                 continue
@@ -133,17 +179,17 @@ def full_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple
                 rest -= times * pattern
                 found.append((pattern, times))
             short = used & (rest < pattern) if not times else used & (rest == 0)
-            here[sizes[short]] = False  # what is left of one that a pattern asks for twice goes to the linear program
+            here[sizes[short]] = False  # what is left of one that a pattern asks for twice is filled in last
     return found, rest
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = UNIT) -> list[tuple[int, int, int, int, int]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = 1) -> list[tuple[int, int, int, int, int]]:
     """(bin, first rank, end rank, first sequence, sequences) for pieces binned by length, from their numbers.
 
-    A bin holds lengths up to a multiple of ``unit``. Full sequences are taken first; the linear program plans the
-    others, unless filling them greedily is as good. Its amounts are rounded down, and what that leaves, less than one sequence per pattern, is filled
-    greedily. Of bin b, the pieces of ranks first to end
-    are dealt in turn to the sequences of one pattern.
+    A bin holds lengths up to a multiple of ``unit``. The amounts of the linear program's patterns are rounded down;
+    what that leaves, less than one sequence per pattern, is filled greedily, by full sequences first or by the largest
+    pieces first, whichever takes fewer. Of bin b, the pieces of ranks first to
+    end are dealt in turn to the sequences of one pattern.
     """
     counts: dict[int, int] = {}
     for length, n in histogram.items():
@@ -151,25 +197,18 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = UNIT)
     sizes = np.array(sorted(counts), np.int64)
     if not len(sizes):
         return []
-    demand = np.array([counts[s] for s in sizes.tolist()], np.int64)
-    chosen, rest = full_patterns(sizes, demand, capacity // unit) if unit == 1 else ([], demand.copy())
-    greedy = chosen + first_fit(sizes, rest, capacity // unit)
-    least = int((sizes * demand).sum()) / (capacity // unit)
-    # No plan needs fewer sequences than the pieces fill; near that the linear program has nothing to gain.
-    near = unit == 1 and sum(times for _, times in greedy) <= (1 + NEAR) * least + 1
-    open_ = np.flatnonzero(rest) if not near else np.empty(0, np.int64)
-    patterns, amount = solve(sizes[open_], rest[open_], capacity // unit) if len(open_) else ([], np.zeros(0))
-    for some, times in zip(patterns, np.floor(amount + 1e-9).astype(np.int64).tolist()):
-        pattern = np.zeros(len(sizes), np.int64)
-        pattern[open_] = some
-        # Patterns may hold more of a size than is left.
+    rest = np.array([counts[s] for s in sizes.tolist()], np.int64)
+    chosen = []
+    patterns, amount = solve(sizes, rest, capacity // unit)
+    for pattern, times in zip(patterns, np.floor(amount + 1e-9).astype(np.int64).tolist()):
         used = pattern > 0
-        times = min(times, int((rest[used] // pattern[used]).min())) if used.any() else 0
+        times = min(times, int((rest[used] // pattern[used]).min()))
         if times:
             rest -= times * pattern
             chosen.append((pattern, times))
-    chosen += first_fit(sizes, rest, capacity // unit)
-    chosen = greedy if near else min(greedy, chosen, key=lambda found: sum(times for _, times in found))
+    full, left = full_patterns(sizes, rest, capacity // unit)
+    fills = [full + first_fit(sizes, left, capacity // unit), first_fit(sizes, rest, capacity // unit)]
+    chosen += min(fills, key=lambda found: sum(times for _, times in found))
     rows, start, ranks = [], 0, np.zeros(len(sizes), np.int64)
     for pattern, times in chosen:
         for at in np.flatnonzero(pattern).tolist():
@@ -181,9 +220,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = UNIT)
 
 
 def best_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[int, list[tuple[int, int, int, int, int]]]:
-    """(unit, plan) of the fewest sequences, by exact and by coarse lengths."""
-    plans = [(unit, plan(histogram, capacity, unit)) for unit in (UNIT, COARSE) if capacity % unit == 0]
-    return min(plans, key=lambda p: max((r[3] + r[4] for r in p[1]), default=0))
+    """(unit, plan), by exact lengths."""
+    return 1, plan(histogram, capacity)
 
 
 # Ids of words.
@@ -207,7 +245,7 @@ def encode_words(model, sizes: np.ndarray, found: list[str]) -> tuple[np.ndarray
     ids = [e.ids for e in model.encode_batch_fast(texts + [found[n] for n in np.flatnonzero(apart).tolist()], add_special_tokens=False)]
     flat = np.fromiter(chain.from_iterable(ids), np.int32)
     lengths = np.empty(len(found), np.int64)
-    ends = np.cumsum(np.fromiter((len(w.encode()) for w in many), np.int64, len(many)))
+    ends = np.cumsum(pc.binary_length(pa.array(many, pa.string())).to_numpy().astype(np.int64))
     total = sum(map(len, ids[: len(texts)]))
     lengths[~apart] = np.diff(np.searchsorted(np.cumsum(sizes[flat[:total]]), ends, side="right"), prepend=0)
     lengths[apart] = np.fromiter(map(len, ids[len(texts) :]), np.int64)
@@ -216,6 +254,38 @@ def encode_words(model, sizes: np.ndarray, found: list[str]) -> tuple[np.ndarray
     return ranges(flat, starts, starts + lengths), lengths
 
 
+# Fixed value: where tokenizers that write bytes as characters begin a new match.
+MATCHES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_characters() -> dict[str, int]:
+    """The byte that each character stands for: visible Latin-1 characters stand for themselves, the other bytes have
+    characters from 256 on, in order."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
+def ranked(tokenizer: str) -> dict[bytes, int] | None:
+    """Ids by bytes, if the tokenizer (JSON) only cuts into MATCHES and merges the pair with the smallest id first;
+    else None. Such ids are found by rank, without the merges."""
+    found = json.loads(tokenizer)
+    model, cut_by = found["model"], found.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not found.get("normalizer") and not any(
+        model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    )
+    if not plain or cut_by.get("type") != "ByteLevel" or cut_by.get("add_prefix_space") or not cut_by.get("use_regex", True):
+        return None
+    special = {t["content"] for t in found.get("added_tokens") or []}
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model["merges"]]
+    ids = [model["vocab"].get(m, -1) for m in merged]
+    byte = byte_characters()
+    words = {t: n for t, n in model["vocab"].items() if t not in special}
+    if any(a >= b for a, b in pairwise([-1, *ids])) or set(words) - set(merged) != set(byte) or max(map(words.get, byte)) > ids[0]:
+        return None
+    return {bytes(map(byte.__getitem__, t)): n for t, n in words.items()}
+
+
 # Spark.
 
 def cut(
@@ -225,36 +295,58 @@ def cut(
     """(key, start, length, ids_crc32, doc_tokens) and, if asked for, ids: documents in pieces of up to ``capacity``.
 
     A document is its ids by the tokenizer file (JSON), without special tokens, and the id ``end``. It is cut after
-    every ``capacity`` ids, so only its last piece is shorter. The tokenizer, one that begins a new match at a single
-    blank, gets each distinct word once for a block of texts. A NULL text is empty. ``nth`` numbers the rows; it is
+    every ``capacity`` ids, so only its last piece is shorter. Ids of a tokenizer that merges by rank are found by
+    rank, text by text; another one, which begins a new match at a single blank, gets each distinct word once for a
+    block of texts. A NULL text is empty. ``nth`` numbers the rows; it is
     to be stored before use.
     """
     with open(tokenizer, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())  # as large as the vocabulary
+        model_text = file.read()
+    shared = docs.sparkSession.sparkContext.broadcast((model_text, ranked(model_text)))  # as large as the vocabulary
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoder():
+        model, ranks = shared.value
+        if ranks is not None:
+            import tiktoken
+
+            own = tiktoken.Encoding("ranked", pat_str=MATCHES, mergeable_ranks=ranks, special_tokens={})
+
+            def by_rank(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                found = [own.encode_ordinary(t) for t in texts]
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
+
+            return by_rank
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_str(shared.value)
-        model.encode_special_tokens = True
-        words = Words(lambda found: encode_words(model, octets(model), found))
+        whole = Tokenizer.from_str(model)
+        whole.encode_special_tokens = True
+        sizes = octets(whole)
+        return Words(lambda found: encode_words(whole, sizes, found)).of
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder()
         for block in blocks(batches, "text", BLOCK_BYTES):
-            out: list[tuple] = []
-            row: list[int] = []
-            for n, ids in enumerate(words.ids([t or "" for t in block.column("text").to_pylist()])):
-                ids = np.append(ids, end).astype("<u4")
-                for start in range(0, len(ids), capacity):
-                    part = ids[start : start + capacity]
-                    row.append(n)
-                    out.append((start, len(part), zlib.crc32(part.tobytes()), len(ids), part.astype(np.int32) if with_ids else None))
-            columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds[: 5 if with_ids else 4])]
+            found, counts = encode([t or "" for t in block.column("text").to_pylist()])
+            ids = np.insert(found, np.cumsum(counts), end).astype("<u4")
+            tokens = counts + 1
+            pieces = -(-tokens // capacity)
+            row = np.repeat(np.arange(len(counts)), pieces)
+            start = capacity * (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+            length = np.minimum(capacity, tokens[row] - start)
+            octet = 4 * (np.cumsum(length) - length)  # pieces lie one after the other, as do documents
+            view = memoryview(ids.tobytes())
+            check = [zlib.crc32(view[a:b]) for a, b in zip(octet.tolist(), (octet + 4 * length).tolist())]
+            columns = [pa.array(c, pa.int64()) for c in (start, length, check, tokens[row])]
+            if with_ids:
+                ends = pa.array(np.append(0, np.cumsum(length)), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays([block.column("key").take(pa.array(row)), *columns], ["key", *names[: len(columns)]])
 
     names = ["start", "length", "ids_crc32", "doc_tokens", "ids"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
     kind = docs.schema[key].dataType.simpleString()
     named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = f"key {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids
