@@ -68,6 +68,33 @@ GIVEN_CENTRES = ", ".join(f"({n}, {n * 8}.0, {n * 3000 - 1000}.0, {n * 100}.0, 2
 DAILY_FEATURES = ["Longitude", "Latitude", *DAILY_TEMPERATURES]
 
 ORACLE = {
+    # Around each nation from its smallest point, always to the point that has no other on its right.
+    "q_geojson_hull": f"""WITH RECURSIVE p AS MATERIALIZED (SELECT DISTINCT prediction, lon, lat FROM {CUSTOMERS}),
+        first AS (SELECT prediction, min({{'x': lon, 'y': lat}}) AS corner FROM p GROUP BY prediction),
+        next AS MATERIALIZED (
+            SELECT a.prediction, a.lon AS ax, a.lat AS ay, b.lon AS tx, b.lat AS ty FROM p a JOIN p b
+            ON a.prediction = b.prediction AND (a.lon, a.lat) <> (b.lon, b.lat)
+            WHERE NOT EXISTS (SELECT 1 FROM p c WHERE c.prediction = a.prediction
+                AND (b.lon - a.lon) * (c.lat - a.lat) - (b.lat - a.lat) * (c.lon - a.lon) < 0)
+        ), walk AS (
+            SELECT prediction, 0 AS place, corner.x AS lon, corner.y AS lat FROM first
+            UNION ALL SELECT w.prediction, place + 1, tx, ty FROM walk w JOIN next n
+            ON w.prediction = n.prediction AND w.lon = ax AND w.lat = ay JOIN first f ON f.prediction = w.prediction
+            WHERE place = 0 OR (w.lon, w.lat) <> (f.corner.x, f.corner.y)
+        ) SELECT prediction, n_name AS name, 'Polygon' AS type, place, lon, lat FROM walk JOIN nation ON n_nationkey = prediction""",
+    "q_stream_tables": f"""SELECT DISTINCT user_id AS "locationID", strftime(date_trunc('minute', ts), {MICROS}) AS time FROM events""",
+    "q_run_one_cluster": f"""WITH r AS (SELECT * FROM lineitem JOIN customer ON l_suppkey = c_custkey)
+        SELECT strftime(l_shipdate, '%Y-%m-%d') AS time, 0 AS prediction, bool_or(l_returnflag = 'R') AS avg_is_day,
+               {', '.join(f"{r4(f'avg(CAST({READING[m]} AS INT))' if m in INTEGER_METRICS else f'avg({READING[m]})')} AS avg_{m}" for m in CASUAL_METRICS if m != 'is_day')}
+        FROM r WHERE l_linenumber <> 7 GROUP BY 1
+        UNION ALL SELECT 'skipped', CAST(count(*) AS INT), NULL, {', '.join('NULL' for m in CASUAL_METRICS if m != 'is_day')} FROM r WHERE l_linenumber = 7""",
+    "q_refused_rows": """WITH r AS (
+            SELECT l_orderkey, l_linenumber, l_extendedprice * 1e5 AS visibility, l_quantity * 30 >= 999.995 AS warm,
+                   l_extendedprice * 1e5 >= 2147483647.5 AS far FROM lineitem)
+        SELECT l_orderkey AS orderkey, CAST(l_linenumber AS INT) AS line,
+               array_to_string(list_filter([CASE WHEN warm THEN 'temperature_2m' END, CASE WHEN far THEN 'visibility' END], lambda x: x IS NOT NULL), ',') AS columns,
+               round(visibility, 2) AS visibility FROM r WHERE warm OR far
+        UNION ALL SELECT NULL, CAST(count(*) FILTER (WHERE warm OR far) AS INT), 'kept', CAST(count(*) FILTER (WHERE NOT (warm OR far)) AS DOUBLE) FROM r""",
     "q_paged_filter": f"""SELECT event_id, strftime(ts, {MICROS}) AS ts, event_type, value FROM events
         WHERE event_id >= (SELECT max(event_id) // 2 FROM events)""",
     "q_history_sync": f"""SELECT row_number() OVER (ORDER BY event_id) - 1 AS position, event_id, strftime(ts, {MICROS}) AS ts, event_type, value

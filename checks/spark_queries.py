@@ -13,7 +13,7 @@ from checks.standins import (
     EVENT_SHARD, FORECAST, READING, current_wire, daily_wire, event_messages, given, order_messages, places, select,
     store_messages, store_pages,
 )
-from obsframe.functions.casts import local_time, misfits, typed
+from obsframe.functions.casts import count_misfits, local_time, typed
 from obsframe.functions.geojson import ring
 from obsframe.functions.text import address_part, grid, page_query
 from obsframe.operators import cluster
@@ -31,9 +31,9 @@ from obsframe.operators.states import mean_of, merge_states, partial_states
 from obsframe.operators.versions import insert_ignore, latest_forecasts
 from obsframe.plans.crawl import crawl
 from obsframe.plans.incremental import Store, add_forecasts, daily_summary
-from obsframe.plans.jobs import daily_features, run_once
+from obsframe.plans.jobs import daily_features, outline_features, run_and_store, run_current
 from obsframe.schemas import CASUAL_METRICS, CURRENT_TABLE, DAILY_TEMPERATURES, FULL_METRICS, ROWS_PER_PAGE, TIMEZONE
-from obsframe.sinks.tables import append_by_shard, create_tables, insert_rows
+from obsframe.sinks.tables import append_by_shard, append_to, create_tables, insert_rows, read_refused
 from obsframe.sources.history import read_history, sync
 from obsframe.sources.locations import read_locations
 from obsframe.sources.paged import page_rows, read_pages, read_table, register_paged_rest
@@ -42,6 +42,7 @@ from obsframe.sources.requests import build_requests, failed, profile, succeeded
 from obsframe.sources.streams import stored_messages
 from obsframe.sources.transports import StoredPages
 from obsframe.streaming.ingest import ingest_to_folder, read_distinct, read_folder, start_distinct
+from obsframe.streaming.store import ingest_to_tables, stream_tables
 from obsframe.workspace import materialize, new_path
 
 cloudpickle.register_pickle_by_value(checks)
@@ -447,6 +448,23 @@ def q_geojson(spark, sf):
     return daily_features(materialize(rounded, "geojson-summary"), points, ["prediction"])
 
 
+def q_geojson_hull(spark, sf):
+    """The outline of each nation's customers, and its corners in order, from the feature."""
+    customers = _customers_by_nation(spark, sf)
+    summary = cluster.join_names(cluster.summarize_daily(customers, ["prediction"]), _named(spark, sf))
+    rounded = summary.select("prediction", "centroid_address", *[r4(t).alias(t) for t in DAILY_TEMPERATURES])
+    found = outline_features(materialize(rounded, "hull-summary"), customers, ["prediction"])
+    shape = T.StructType([
+        T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))])),
+        T.StructField("properties", T.StructType([T.StructField("name", T.StringType())])),
+    ])
+    parsed = found.select("prediction", F.from_json("geojson", shape).alias("f"))
+    ring_ = F.get("f.geometry.coordinates", F.lit(0))
+    return parsed.select("prediction", F.col("f.properties.name").alias("name"), F.col("f.geometry.type").alias("type"), F.posexplode(ring_).alias("place", "at")).select(
+        "prediction", "name", "type", "place", F.get("at", F.lit(0)).alias("lon"), F.get("at", F.lit(1)).alias("lat"),
+    )
+
+
 def q_reverse_geocode(spark, sf):
     queries = given(spark, sf, "supplier").select(
         "s_suppkey", F.col("s_acctbal").alias("lat"), F.col("s_nationkey").cast("double").alias("lon")
@@ -482,7 +500,7 @@ def _table_rows(spark, sf):
 def q_ddl_typed_table(spark, sf):
     prefix = f"check_{uuid.uuid4().hex}_"
     create_tables(spark, prefix, new_path(spark, "tables"))
-    insert_rows(_table_rows(spark, sf), f"{prefix}current", "current")
+    insert_rows(_table_rows(spark, sf), f"{prefix}current", "current", as_null=True)
     numbers = ["temperature_2m", "rain", "apparent_temperature", "precipitation", "snowfall"]
     return spark.table(f"{prefix}current").select(
         "locationID", F.date_format("time", MICROS).alias("time"), "wind_direction_10m", "uv_index", "visibility", "shard",
@@ -491,8 +509,29 @@ def q_ddl_typed_table(spark, sf):
 
 
 def q_table_misfits(spark, sf):
-    lost = misfits(_table_rows(spark, sf), CURRENT_TABLE)
-    return lost.select(F.explode("misfit").alias("column")).groupBy("column").agg(F.count("*").alias("n"))
+    return count_misfits(_table_rows(spark, sf), CURRENT_TABLE)
+
+
+def q_refused_rows(spark, sf):
+    """What an insert refuses: rows with a temperature or a visibility that the table has no room for."""
+    rows = select(given(spark, sf, "lineitem"), {
+        "locationID": "l_orderkey", "time": "l_shipdate", "temperature_2m": "l_quantity * 30", "visibility": "l_extendedprice * 1e5",
+        "wind_direction_10m": "l_linenumber", "shard": "1",
+    })
+    prefix, errors = f"refused_{uuid.uuid4().hex}_", new_path(spark, "errors")
+    create_tables(spark, prefix, new_path(spark, "tables"))
+    written = insert_rows(rows, f"{prefix}current", "current", errors)
+    refused = read_refused(spark, errors)
+    field = lambda name: F.get_json_object("row", f"$.{name}")
+    listed = refused.select(
+        field("locationID").cast("bigint").alias("orderkey"), field("wind_direction_10m").cast("int").alias("line"),
+        F.array_join("columns", ",").alias("columns"), F.round(field("visibility").cast("double"), 2).alias("visibility"),
+    )
+    kept = spark.table(f"{prefix}current").agg(
+        F.lit(None).cast("bigint").alias("orderkey"), F.lit(written.refused).cast("int").alias("line"), F.lit("kept").alias("columns"),
+        F.count("*").cast("double").alias("visibility"),
+    )
+    return listed.unionByName(kept)
 
 
 def _ingested(spark, sf, table):
@@ -510,6 +549,17 @@ def q_stream_forecasts(spark, sf):
     return _ingested(spark, sf, "daily").select("locationID", "time", "temperature_2m_max", "sunrise", "shard")
 
 
+def q_stream_tables(spark, sf):
+    """Readings that came twice, in four batches, in tables that merge every two batches of a day."""
+    root = new_path(spark, "stream-tables")
+    messages = event_messages(spark, sf)
+    folder = store_messages(messages.repartition(2), copies=2)
+    stream = stored_messages(spark, folder, maxFilesPerTrigger="1")
+    ingest_to_tables(stream, root, f"{root}/progress", available_now=True, merge=2).awaitTermination()
+    found = stream_tables(spark, root)["current"].read()
+    return found.select("locationID", F.date_format("time", MICROS).alias("time"))
+
+
 def q_stream_dedup(spark, sf):
     root = new_path(spark, "distinct")
     readings = given(spark, sf, "events").select(
@@ -528,10 +578,12 @@ def q_run_once(spark, sf):
         F.col("Address").alias("address"),
     )
     at = at.withColumn("Latitude", F.col("Latitude") / 200)
-    result = run_once(
+    out = new_path(spark, "results")
+    run_and_store(
         typed(daily_wire(spark, sf), "daily").fillna(0.0, DAILY_TEMPERATURES),
-        typed(current_wire(spark, sf), "current").fillna(0.0), at, gazetteer, F.lit(RUN_TIME).cast("timestamp"),
-    ).tables
+        typed(current_wire(spark, sf), "current").fillna(0.0), at, gazetteer, append_to(out), F.lit(RUN_TIME).cast("timestamp"), parts=3,
+    )
+    result = {name: spark.read.parquet(f"{out}/{name}") for name in ("daily_geojson", "current_summary", "current_correlation")}
     shape = T.StructType([T.StructField("geometry", T.StructType([
         T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
     ]))])
@@ -542,4 +594,21 @@ def q_run_once(spark, sf):
     return daily.unionByName(times).unionByName(pairs)
 
 
+def q_run_one_cluster(spark, sf):
+    """Means of all readings of a time, as a run with one cluster has them, and how many readings have no cluster."""
+    at = places(spark, sf)
+    gazetteer = at.select(
+        F.col("id").alias("place_id"), (F.col("Latitude") / 200).alias("lat"), F.col("Longitude").alias("lon"), F.col("Address").alias("address"),
+    )
+    wire = typed(current_wire(spark, sf), "current")
+    result = run_current(wire, at, gazetteer, F.lit(RUN_TIME).cast("timestamp"), k=1)
+    means = [f"avg_{m}" for m in CASUAL_METRICS if m != "is_day"]
+    summary = result.tables["current_summary"].select("time", "prediction", "avg_is_day", *[r4(m).alias(m) for m in means])
+    skipped = result.skipped["current"].agg(
+        F.lit("skipped").alias("time"), F.count("*").cast("int").alias("prediction"), F.lit(None).cast("boolean").alias("avg_is_day"),
+        *[F.lit(None).cast("double").alias(m) for m in means],
+    )
+    return summary.unionByName(skipped)
+
+
 QUERIES = {name: value for name, value in list(globals().items()) if name.startswith("q_")}

@@ -39,6 +39,10 @@ def fitted(df: DataFrame, field: T.StructField) -> Column:
     if field.name not in df.columns:
         return F.lit(None).cast(field.dataType)
     value, source, target = F.col(field.name), df.schema[field.name].dataType, field.dataType
+    if isinstance(source, (T.DoubleType, T.FloatType)) and isinstance(target, T.DecimalType):
+        # A number is rounded by the digits it is written with, so it fits if it is less than half a step below the
+        # bound as that is written.
+        return F.when(F.abs(value) < (10 ** (target.precision) - 0.5) / 10**target.scale, value.cast(target))
     if isinstance(source, T.NumericType) and isinstance(target, T.DecimalType):
         bound = 10 ** (target.precision - target.scale)
         return F.when(F.abs(F.round(value, target.scale)) < bound, value.cast(target))
@@ -53,6 +57,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[fitted(df, f).alias(f.name) for f in schema])
 
 
+def marked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """:func:`conform`, with ``misfit``: the names of the columns whose value does not fit, NULL if all do. To be
+    stored before it is filtered by ``misfit``, else every cast is evaluated once more for the filter."""
+    kept = {f.name: fitted(df, f) for f in schema}
+    lost = [F.when(F.col(f.name).isNotNull() & kept[f.name].isNull(), F.lit(f.name)) for f in schema if f.name in df.columns]
+    misfit = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    return df.select(*[kept[f.name].alias(f.name) for f in schema], F.when(F.size(misfit) > 0, misfit).alias("misfit"))
+
+
 def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in which :func:`conform` would lose a value, with the names of the columns that lose it."""
     lost = [
@@ -62,6 +75,13 @@ def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumn("misfit", F.array_compact(F.array(*lost))).where(F.size("misfit") > 0)
 
 
+def count_misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(column, n): how many values of each column do not fit, by one pass; only columns that have any."""
+    known = [f for f in schema if f.name in df.columns]
+    counts = df.agg(*[F.count_if(F.col(f.name).isNotNull() & fitted(df, f).isNull()).alias(f.name) for f in known])
+    return counts.unpivot([], [f.name for f in known], "column", "n").where(F.col("n") > 0)
+
+
 def minute(text: Column) -> Column:
     """Timestamp of ``2024-05-01T10:15``."""
     return F.try_to_timestamp(text, F.lit(MINUTE))

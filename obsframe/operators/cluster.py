@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.functions.text import address_part, grid
-from obsframe.operators.lookup import lookup_join
+from obsframe.operators.kmeans import assign_many
+from obsframe.operators.lookup import is_small, lookup_join
 from obsframe.operators.nearest import nearest_place
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES
 from obsframe.workspace import materialize
@@ -94,9 +95,16 @@ def mean_vectors(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def assign_given(df: DataFrame, vector: str, given: DataFrame) -> DataFrame:
-    """Add ``prediction`` for given centres (label, centre). Rows meet a block of centres at a time and keep the
-    nearest so far, so no task holds all centres where there are many."""
+    """Add ``prediction`` for given centres (label, centre).
+
+    Centres that are small enough to broadcast, by count and bytes, meet the rows in one pass, in blocks of which only
+    those are looked at that can hold the nearest (:func:`kmeans.assign_many`). Beyond that, or with labels that are
+    no whole numbers, rows meet a block of centres at a time and keep the nearest so far."""
     given = materialize(given, "centres")
+    kind = given.schema["label"].dataType
+    if isinstance(kind, T.IntegralType) and is_small(given):
+        found = assign_many(df, vector, given)
+        return found.withColumn("prediction", F.col("prediction").cast(kind))
     blocks = max(1, -(-given.count() // CENTRES_PER_BLOCK))
     nearest = df.withColumn("_nearest", F.lit(None).cast(f"struct<d:double,label:{given.schema['label'].dataType.simpleString()}>"))
     for block in range(blocks):

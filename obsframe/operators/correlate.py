@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from obsframe.functions.casts import stamp
 from obsframe.operators.cluster import require_columns
-from obsframe.operators.lookup import HOT_SHARE, lookup_join
+from obsframe.operators.lookup import BROADCAST_ROWS, HOT_SHARE, lookup_join
 from obsframe.operators.position import running_total
 from obsframe.schemas import struct
 from obsframe.workspace import materialize
@@ -21,25 +21,28 @@ LONG = struct(matrix_x=T.StringType(), matrix_y=T.StringType(), correlation=T.Do
 def ranks(df: DataFrame, metrics: list[str]) -> DataFrame:
     """Average rank of each metric in each row; rows with a NULL metric are left out.
 
-    Equal values are counted before anything is sorted, so a value that fills a third of all rows is one
-    row of the sort, and its rank is broadcast back to the rows that hold it.
+    Values are counted within each task before they are shuffled, and only distinct ones are sorted, so a value that
+    fills a third of all rows is one row of the sort. Ranks of a metric with few distinct values are broadcast back to
+    the rows, which are then not shuffled for it; for any other metric they meet the rows by value, hot values apart.
     """
     require_columns(df, metrics)
     numbers = df.select(*[F.col(m).cast("double").alias(m) for m in metrics]).dropna()
-    stored = materialize(numbers.withColumn("_row", F.monotonically_increasing_id()), "rank-input")
-    cells = stored.unpivot("_row", metrics, "metric", "value")
-    counts = stored.unpivot([], metrics, "metric", "value").groupBy("metric", "value").count()
-    ranked = materialize(
-        running_total(counts, "metric", "value", "count", "below")
-        .withColumn("rank", F.col("below") + (F.col("count") + 1) / 2),
-        "ranks",
-    )
-    rank_of = ["metric", "value", "rank"]
-    hot = ranked.where(F.col("count") * HOT_SHARE > stored.count()).select(*rank_of)
-    placed = lookup_join(cells, ranked.select(*rank_of), ["metric", "value"], hot_rows=hot, stored=True)
-    return placed.groupBy("_row").agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("rank"))).alias(m) for m in metrics]
-    ).drop("_row")
+    found = materialize(numbers, "rank-input")
+    counts = found.unpivot([], metrics, "metric", "value").groupBy("metric", "value").count()
+    ranked = running_total(counts, "metric", "value", "count", "below").withColumn("rank", F.col("below") + (F.col("count") + 1) / 2)
+    ranked = materialize(ranked.select("metric", "value", "count", "rank"), "ranks")
+    distinct = {r.metric: r["count"] for r in ranked.groupBy("metric").count().collect()}  # one row per metric
+    total = found.count()
+    many = [m for m in metrics if distinct.get(m, 0) > BROADCAST_ROWS]
+    of = lambda m: ranked.where(F.col("metric") == m).select(F.col("value").alias(m), F.col("rank").alias(f"_rank_{m}"), "count")
+    for m in many:
+        own = materialize(of(m), "ranks-of")
+        hot = own.where(F.col("count") * HOT_SHARE > total).drop("count")
+        found = lookup_join(found, own.drop("count"), [m], hot_rows=hot, stored=m == many[0])
+    for m in metrics:
+        if m not in many:
+            found = found.join(F.broadcast(of(m).drop("count")), m)  # BROADCAST_ROWS pairs of numbers at most
+    return found.select(*[F.col(f"_rank_{m}").alias(m) for m in metrics])
 
 
 def spearman_long(df: DataFrame, metrics: list[str], run_time: datetime | Column) -> DataFrame:

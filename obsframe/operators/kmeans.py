@@ -49,11 +49,14 @@ def seeds(df: DataFrame, features: list[str], k: int, key: str, rows_per_seed: i
     return Centres(features, [list(p) for p in found[:k]])
 
 
+def finite(features: list[str]) -> Column:
+    """Whether each feature is a number, and finite."""
+    return reduce(Column.__and__, [F.coalesce(F.abs(F.col(f).cast("double")) < float("inf"), F.lit(False)) for f in features])
+
+
 def complete(df: DataFrame, features: list[str]) -> DataFrame:
-    """The features as doubles, and all other columns, of the rows in which each is a finite number."""
-    doubles = {f: F.col(f).cast("double") for f in features}
-    finite = [F.coalesce(F.abs(F.col(f)) < float("inf"), F.lit(False)) for f in features]
-    return df.withColumns(doubles).where(reduce(Column.__and__, finite))
+    """The rows in which each feature is a finite number; features as doubles."""
+    return df.where(finite(features)).withColumns({f: F.col(f).cast("double") for f in features})
 
 
 def fit_centres(df: DataFrame, features: list[str], k: int, key: str, rounds: int = 20, given: Centres | None = None) -> Centres:
@@ -131,12 +134,11 @@ def nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nda
 def assign_centres(df: DataFrame, centres: Centres) -> DataFrame:
     """Add ``prediction``, the label of the nearest centre, to the rows whose features are finite numbers; an
     expression without Python, for as few centres as a job has clusters."""
-    rows = complete(df, centres.features)
+    rows = df.where(finite(centres.features))
     if not centres.values:
         return rows.withColumn("prediction", F.lit(None).cast("int")).where(F.lit(False))
-    apart = [
-        reduce(Column.__add__, [(F.col(f) - x) * (F.col(f) - x) for f, x in zip(centres.features, c)]) for c in centres.values
-    ]
+    values = [F.col(f).cast("double") for f in centres.features]
+    apart = [reduce(Column.__add__, [(v - x) * (v - x) for v, x in zip(values, c)]) for c in centres.values]
     if len(apart) == 1:
         return rows.withColumn("prediction", F.lit(0))
     kept = rows.withColumns({f"_far{n}": a for n, a in enumerate(apart)}).withColumn("_least", F.least(*[f"_far{n}" for n in range(len(apart))]))

@@ -4,11 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.operators.lookup import lookup_join
+from obsframe.operators.position import with_position
 from obsframe.workspace import materialize
 
+FEW = 64           # so many query points are each compared with all places, in one pass
 LEAF_PLACES = 64   # cells are split until none holds more distinct spots than this
 STEP_BITS = 3      # a level's cells have 2**STEP_BITS of the next level's along each axis
-MOST_BITS = 27
+MOST_BITS = 30
 
 
 def _sum(terms: list[Column]) -> Column:
@@ -31,17 +33,25 @@ def _at_most(axes: list[str]) -> Column:
 
 
 class _Grid:
-    """Bounding boxes of the places at each level of a grid whose levels refine one another."""
+    """Bounding boxes of the places at each level of a grid whose levels refine one another.
+
+    The grid is laid over the ranks of the places along each axis, not over their values: its lines are quantiles. So
+    one place far out widens a box, not all cells, and a cell holds few places as soon as it is a few ranks wide."""
 
     def __init__(self, spots: DataFrame, axes: list[str]):
         self.axes = axes
         self.cells = [f"cell_{a}" for a in axes]
         self.up = [f"up_{a}" for a in axes]
-        extent = spots.agg(*[F.min(a).alias(f"lo_{a}") for a in axes], *[F.max(a).alias(f"hi_{a}") for a in axes]).first()
-        self.empty = extent[f"lo_{axes[0]}"] is None
+        spots = materialize(spots, "spots")
+        self.empty = spots.isEmpty()
         if self.empty:
             return
-        self.spots = materialize(spots.withColumns({c: self._cell(a, extent) for c, a in zip(self.cells, axes)}), "spots")
+        for a, c in zip(axes, self.cells):
+            # Distinct values in order, so equal ones have one rank and their places one cell.
+            ranks = with_position(spots.select(a).distinct(), [a])
+            cell = F.floor(F.col("position") * F.lit(float(1 << MOST_BITS)) / F.col("total")).cast("long")
+            spots = materialize(lookup_join(spots, materialize(ranks.select(a, cell.alias(c)), "ranks"), [a], stored=True), "spots")
+        self.spots = spots
         self.bits = STEP_BITS
         while self._fullest() > LEAF_PLACES and self.bits < MOST_BITS:
             self.bits += STEP_BITS
@@ -53,13 +63,6 @@ class _Grid:
             table = materialize(table.groupBy(*self._coarser(STEP_BITS)).agg(*low, *high), "boxes")
             self.levels.insert(0, self._under_parents(table))
 
-    def _cell(self, axis: str, extent) -> Column:
-        low, high = extent[f"lo_{axis}"], extent[f"hi_{axis}"]
-        if low == high:
-            return F.lit(0).cast("long")
-        steps = F.floor((F.col(axis) - low) / (high - low) * float(1 << MOST_BITS))
-        return F.least(steps, F.lit((1 << MOST_BITS) - 1)).cast("long")
-
     def _coarser(self, bits: int) -> list[Column]:
         return [F.shiftright(c, bits).alias(c) for c in self.cells]
 
@@ -114,6 +117,13 @@ def nearest_join(
     with. So points meet only the few cells around them, and dense regions only add levels.
     Without any place the added columns are NULL.
     """
+    spots = queries.select(*axes).dropna().distinct().limit(FEW + 1).collect()
+    if len(spots) <= FEW:
+        winners = _few(spots, places, axes, key, squared)
+        if carry:
+            named = places.where(F.col(key).isin([r[key] for r in winners.select(key).dropna().distinct().collect()]))
+            winners = winners.join(F.broadcast(named.select(key, *carry)), key, "left")  # a row per point
+        return queries.join(F.broadcast(winners), axes, "left")
     grid = _Grid(places.dropna(subset=axes).groupBy(*axes).agg(F.min(key).alias(key)), axes)
     if grid.empty:
         schema = {f.name: f.dataType for f in places.schema}
@@ -140,6 +150,20 @@ def nearest_join(
     return lookup_join(queries, winners, axes, "left")
 
 
+def _few(spots: list, places: DataFrame, axes: list[str], key: str, squared: str) -> DataFrame:
+    """The nearest place of each of a few points (axes, key, squared): a minimum per point over all places, of which
+    every task sends one."""
+    spark, types = places.sparkSession, places.schema
+    nearest = [
+        F.min(F.struct(_sum([(F.col(a) - float(s[a])) * (F.col(a) - float(s[a])) for a in axes]).alias("squared"), key)).alias(f"at{n}")
+        for n, s in enumerate(spots)
+    ]
+    found = places.dropna(subset=axes).agg(*nearest).first() if spots else []
+    rows = [(*[float(s[a]) for a in axes], *((b[key], b["squared"]) if b else (None, None))) for s, b in zip(spots, found)]
+    fields = ", ".join(f"`{a}` double" for a in axes)
+    return spark.createDataFrame(rows, f"{fields}, `{key}` {types[key].dataType.simpleString()}, `{squared}` double")
+
+
 def on_sphere(df: DataFrame, latitude: str, longitude: str) -> DataFrame:
     """Add unit vectors: the nearest in straight-line distance is the nearest by great circle."""
     lat, lon = F.radians(latitude), F.radians(longitude)

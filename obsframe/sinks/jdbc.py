@@ -4,8 +4,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from obsframe.functions.casts import conform
+from obsframe.functions.casts import conform, marked
 from obsframe.operators.shards import SHARD_TABLES
 from obsframe.schemas import STORED
 
@@ -39,15 +40,27 @@ def shard_rows(rows: DataFrame, kind: str, shard: int) -> DataFrame:
     return conform(rows.where(F.col("shard") == shard), STORED[kind])
 
 
-def jdbc_sink(url: str, user: str, password: str, **tuning: int):
-    """For :func:`streaming.ingest.start_ingest`: each shard to its own tables.
+def checked_rows(rows: DataFrame, kind: str, as_null: bool = False) -> DataFrame:
+    """The rows as their tables hold them, with ``shard``. One that has a value which does not fit fails the job
+    before it is sent, unless misfits are to be NULL."""
+    schema = T.StructType([*STORED[kind].fields, T.StructField("shard", T.IntegerType())])
+    found = marked(rows, schema)
+    says = F.concat(F.lit(f"{kind}: no room for the values of "), F.array_join("misfit", ", "))
+    fits = F.lit(True) if as_null else F.when(F.col("misfit").isNull(), True).otherwise(F.raise_error(says).cast("boolean"))
+    return found.where(fits).drop("misfit")
+
+
+def jdbc_sink(url: str, user: str, password: str, as_null: bool = False, **tuning: int):
+    """For :func:`streaming.ingest.start_ingest`: each shard to its own tables. A value that does not fit fails the
+    batch, unless misfits are to be NULL.
 
     A batch that is tried again appends its forecasts again, as further versions of the same forecast.
     """
 
     def write(kind: str, rows: DataFrame, batch_id: int) -> None:
+        checked = checked_rows(rows, kind, as_null)
         for shard, tables in SHARD_TABLES.items():
-            append_jdbc(shard_rows(rows, kind, shard), url, tables[kind], user, password, **tuning)
+            append_jdbc(checked.where(F.col("shard") == shard).drop("shard"), url, tables[kind], user, password, **tuning)
 
     return write
 

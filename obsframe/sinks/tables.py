@@ -1,12 +1,15 @@
 """Stored tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.functions.casts import conform
+from obsframe.functions.casts import marked
 from obsframe.operators.versions import insert_ignore
 from obsframe.schemas import STORED
+from obsframe.workspace import materialize
 
 
 def ddl(name: str, schema: T.StructType, partition_by: list[str] = [], location: str | None = None) -> str:
@@ -31,20 +34,60 @@ def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("time_created", F.current_timestamp())
 
 
-def insert_rows(df: DataFrame, table: str, kind: str) -> None:
-    """Append to a table made by :func:`create_tables`; ``shard``, where given, picks the partition."""
+@dataclass
+class Written:
+    """What an insert has done: rows written, rows refused, and for each column how many values did not fit."""
+
+    rows: int
+    refused: int
+    columns: dict[str, int]
+
+
+class Refused(ValueError):
+    """Values that do not fit the table."""
+
+
+def insert_rows(df: DataFrame, table: str, kind: str, errors: str | None = None, as_null: bool = False) -> Written:
+    """Append to a table made by :func:`create_tables`; ``shard``, where given, picks the partition.
+
+    Every value is cast once, into a stored table, and counted on the way. A value that does not fit refuses its row:
+    the job fails and the table stays as it was, unless ``errors`` names a folder for refused rows (see
+    :func:`read_refused`). With ``as_null`` such a row goes into the table too, its misfits as NULL."""
     schema = STORED[kind]
     rows = stamped(df) if kind == "daily" else df
-    typed = conform(rows, schema) if "shard" not in df.columns else conform(
-        rows, T.StructType([*schema.fields, T.StructField("shard", T.IntegerType())])
+    if "shard" in df.columns:
+        schema = T.StructType([*schema.fields, T.StructField("shard", T.IntegerType())])
+    seen = Observation()
+    lost = [F.count_if(F.array_contains("misfit", f.name)).alias(f.name) for f in schema]
+    with_given = marked(rows.withColumn("_given", F.to_json(F.struct(*df.columns))), T.StructType([*schema.fields, T.StructField("_given", T.StringType())]))
+    given = F.when(F.col("misfit").isNotNull(), F.col("_given")).alias("_given")
+    checked = with_given.select(*schema.names, "misfit", given).observe(
+        seen, F.count("*").alias("rows"), F.count("misfit").alias("refused"), *[c.alias(f"lost_{f.name}") for c, f in zip(lost, schema)]
     )
-    typed.write.insertInto(table)
-
-
-def insert_locations(new: DataFrame, table: str) -> None:
+    stored = materialize(checked, "checked")
+    found = seen.get
+    columns = {f.name: found[f"lost_{f.name}"] for f in schema if found[f"lost_{f.name}"]}
+    refused = found["refused"]
+    if refused and errors is None and not as_null:
+        raise Refused(f"{refused} of {found['rows']} rows do not fit {table}: {', '.join(f'{n} in {c}' for c, n in columns.items())}")
+    good = stored if as_null or not refused else stored.where(F.col("misfit").isNull())
+    good.select(*schema.names).write.insertInto(table)
+    if refused and errors:
+        stored.where(F.col("misfit").isNotNull()).select(
+            F.lit(table).alias("table"), F.col("misfit").alias("columns"), F.col("_given").alias("row"), F.current_timestamp().alias("time")
+        ).write.mode("append").parquet(errors)
+    return Written(found["rows"] if as_null else found["rows"] - refused, refused, columns)
+
+
+def read_refused(spark: SparkSession, errors: str) -> DataFrame:
+    """(table, columns, row, time) of refused rows: the columns that did not fit, and the row as it was given, as JSON."""
+    return spark.read.schema("table string, columns array<string>, row string, time timestamp").parquet(errors)
+
+
+def insert_locations(new: DataFrame, table: str, errors: str | None = None, as_null: bool = False) -> Written:
     """Append the locations whose id the table does not have."""
     fresh = insert_ignore(new, new.sparkSession.table(table), "id")
-    insert_rows(fresh, table, "locations")
+    return insert_rows(fresh, table, "locations", errors, as_null)
 
 
 def append_to(folder: str):

@@ -3,18 +3,21 @@
 import json
 import sys
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from obsframe.operators.envelope import encode_messages
-from obsframe.plans.jobs import run_from_source, run_once, store_result
-from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES
+from obsframe.plans.jobs import run_and_store, run_from_source, run_once, store_result
+from obsframe.functions.casts import typed
+from obsframe.schemas import CASUAL_METRICS, CURRENT_WIRE, DAILY_TEMPERATURES, DAILY_WIRE
 from obsframe.sinks.tables import append_to
 from obsframe.sources.paged import register_paged_rest
 from obsframe.sources.streams import stored_messages
 from obsframe.streaming.ingest import ingest_to_folder, read_folder
+from obsframe.workspace import open_runs, shared_folder
 
 PLACES = 24
 
@@ -66,7 +69,7 @@ def result(spark):
         [(1, 12.0, 101.0, "1 Road, South, Land"), (2, 24.0, 101.0, "2 Road, North, Land"), (3, 80.0, -20.0, "Ice")],
         "place_id int, lat double, lon double, address string",
     )
-    return run_from_source(spark, gazetteer, datetime(2024, 5, 1, 12), page_size="7")
+    return run_from_source(spark, gazetteer, datetime(2024, 5, 1, 12), parts=1, page_size="7")
 
 
 def test_daily_features(result):
@@ -132,7 +135,7 @@ def test_from_messages_to_results(spark, tmp_path):
     places = spark.range(30).select("id", (F.col("id") * 2.0).alias("Longitude"), (F.col("id") * 1.0).alias("Latitude"))
     gazetteer = spark.createDataFrame([(1, 5.0, 10.0, "a, West, b"), (2, 25.0, 50.0, "a, East, b")],
                                       "place_id int, lat double, lon double, address string")
-    tables = run_once(read_folder(spark, root, "daily"), read_folder(spark, root, "current"), places, gazetteer).tables
+    tables = run_once(read_folder(spark, root, "daily"), read_folder(spark, root, "current"), places, gazetteer, parts=1).tables
     features = [(r.time.day, json.loads(r.geojson)) for r in tables["daily_geojson"].collect()]
     for day in range(1, 8):
         assert sum(len(f["geometry"]["coordinates"][0]) for d, f in features if d == day) == 30
@@ -140,3 +143,31 @@ def test_from_messages_to_results(spark, tmp_path):
     assert {f["properties"]["name"] for _, f in features} == {"West", "East"}
     assert {str(r.time) for r in tables["current_summary"].collect()} == {"2024-05-01 10:00:00", "2024-05-01 11:00:00"}
     assert tables["current_correlation"].count() == 361
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_a_run_leaves_nothing_behind(spark, tmp_path, fails):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    left = lambda: sorted(p.name for p in (shared / "obsframe").glob("*"))
+    before = left()
+    gazetteer = spark.createDataFrame([(1, 12.0, 101.0, "1 Road, South, Land")], "place_id int, lat double, lon double, address string")
+    at = spark.createDataFrame([(i, 10.0 + i % 4, 100.0 + i % 3) for i in range(PLACES)], "id int, Latitude double, Longitude double")
+    seen = []
+
+    def write(name, rows):
+        seen.append((name, len(open_runs(spark)), any((shared / "obsframe-runs").rglob("*.parquet"))))
+        if fails:
+            raise OSError("no room")
+        append_to(f"{tmp_path}/out")(name, rows)
+
+    daily = typed(spark.createDataFrame(rows_of("daily"), DAILY_WIRE), "daily")
+    current = typed(spark.createDataFrame(rows_of("current"), CURRENT_WIRE), "current")
+    if fails:
+        with pytest.raises(OSError):
+            run_and_store(daily, current, at, gazetteer, write, datetime(2024, 5, 1), parts=2, k=3)
+    else:
+        assert run_and_store(daily, current, at, gazetteer, write, datetime(2024, 5, 1), parts=2, k=3) == {"daily": 0, "current": 1}
+        features = [json.loads(r.geojson) for r in spark.read.parquet(f"{tmp_path}/out/daily_geojson").collect()]
+        assert {(f["properties"]["part"], f["properties"]["parts"]) for f in features} == {(0, 2), (1, 2)}
+    assert seen[0] == ("daily_geojson", 1, True)
+    assert open_runs(spark) == [] and left() == before

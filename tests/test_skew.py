@@ -88,9 +88,10 @@ def brute(queries, places):
     return found
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_nearest_dense_and_far(spark, monkeypatch, small):
+@pytest.mark.parametrize("small,few", [(True, 0), (False, 0), (True, 1000)])
+def test_nearest_dense_and_far(spark, monkeypatch, small, few):
     """A third of the places in one tiny spot, a third exact copies, the rest wide; queries in and far out."""
+    monkeypatch.setattr(nearest, "FEW", few)
     if not small:
         monkeypatch.setattr(lookup, "BROADCAST_ROWS", 40)
     monkeypatch.setattr(nearest, "LEAF_PLACES", 4)
@@ -109,7 +110,23 @@ def test_nearest_dense_and_far(spark, monkeypatch, small):
         assert (got[i].squared_distance, got[i].place_id, got[i].name) == (d, place, f"p{place}")
 
 
-def test_nearest_on_a_line_and_alone(spark):
+def test_one_place_far_out_fills_no_cell(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "FEW", 0)
+    places = spark.range(20_000).select(
+        F.col("id").cast("int").alias("place_id"), (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1e9).alias("x"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_003)) / 1e9).alias("y"),
+    ).union(spark.createDataFrame([(-1, 1e9, 1e9)], "place_id int, x double, y double"))
+    grid = nearest._Grid(places.select("x", "y", "place_id"), ["x", "y"])
+    assert grid._fullest() <= nearest.LEAF_PLACES and grid.bits <= 15
+    asked = [(0, 0.0, 0.0), (1, 5e-4, 5e-4), (2, 1e9, 9e8), (3, 4e8, 4e8)]
+    q = spark.createDataFrame(asked, "q int, x double, y double")
+    got = {r.q: (r.squared_distance, r.place_id) for r in nearest_join(q, places, ["x", "y"], "place_id", []).collect()}
+    known = [tuple(r) for r in places.collect()]
+    assert got == dict(enumerate(brute([a[1:] for a in asked], known)))
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_nearest_on_a_line_and_alone(spark, monkeypatch, few):
+    monkeypatch.setattr(nearest, "FEW", few)
     q = spark.createDataFrame([(1, 5.0, 0.0)], "q int, x double, y double")
     line = spark.createDataFrame([(i, float(i), 2.0) for i in range(200)], "place_id int, x double, y double")
     assert nearest_join(q, line, ["x", "y"], "place_id", []).first().place_id == 5
