@@ -13,6 +13,8 @@ BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 << 20
 # A key is hot when it holds more than one row in HOT_SHARE, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1_000
+# Tasks that share the facts of a hot key whose rows in the table are too wide to broadcast.
+SALTS = 16
 
 
 def is_small(df: DataFrame) -> bool:
@@ -42,7 +44,8 @@ def lookup_join(
     """Join ``facts`` (``inner`` or ``left``) to a stored ``table`` with a bounded number of rows per key.
 
     A small table is broadcast. Beyond that only the rows of the hot keys are, as there are fewer than
-    HOT_SHARE such keys, and all other keys meet in a shuffle in which no key is large. ``hot_rows`` are the
+    HOT_SHARE such keys, and all other keys meet in a shuffle in which no key is large. Hot rows that are too wide for
+    that meet their facts in a shuffle by key and salt. ``hot_rows`` are the
     rows of the table for the hot keys, where the caller knows them; ``stored`` facts are not stored again.
     """
     if is_small(table):
@@ -58,13 +61,18 @@ def lookup_join(
         hot = materialize(hot_keys(facts, on).dropna(), "hot-keys")
         hot_rows = table.join(F.broadcast(hot), on, "left_semi")
     hot_rows = materialize(hot_rows, "hot-rows")
-    if not is_small(hot_rows):
-        return facts.join(table, on, how)
     met = hot_rows.select(*on).distinct()
     hot = met if hot is None else hot
     keyed = facts.dropna(subset=on)
     rest = keyed.join(F.broadcast(hot), on, "left_anti")
-    found = facts.join(F.broadcast(hot_rows), on).unionByName(rest.join(table, on, how))
+    if is_small(hot_rows):
+        found = facts.join(F.broadcast(hot_rows), on)
+    else:
+        # Too wide to broadcast: the facts of a hot key are dealt to SALTS tasks, each of which gets its rows.
+        dealt = keyed.join(F.broadcast(met), on, "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
+        spread = hot_rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = dealt.join(spread, [*on, "_salt"]).drop("_salt")
+    found = found.unionByName(rest.join(table, on, how))
     if how == "inner":
         return found
     # What can meet nothing is not shuffled: NULL keys, and hot keys without a row in the table.

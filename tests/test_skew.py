@@ -204,3 +204,20 @@ def test_run_time_now_is_utc(spark):
 
 def test_spearman_of_nothing(spark):
     assert spearman_long(spark.createDataFrame([], "a double, b double"), ["a", "b"], datetime(2024, 1, 1)).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_wide_rows_of_hot_keys_are_salted(spark, monkeypatch, how):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 150)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 2_000)
+    facts = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 400).alias("k"), F.col("id").alias("v"), F.lit("f" * 50).alias("wide"),
+    )
+    table = spark.range(300).select(F.col("id").alias("k"), F.concat(F.lit("t" * 4000), F.col("id")).alias("payload"))
+    stored = lookup.materialize(table, "wide")
+    found = lookup.lookup_join(facts, stored, ["k"], how)
+    plan = found._jdf.queryExecution().toString()
+    assert "_salt" in plan
+    expected = facts.join(table, "k", how).select("k", "v", F.substring("payload", 4001, 9).alias("p"))
+    got = found.select("k", "v", F.substring("payload", 4001, 9).alias("p"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
