@@ -20,7 +20,7 @@ from obsframe.workspace import materialize
 
 CAPACITY, SALTS = 2048, 256
 # The linear program ends when no plan can need a smaller share than this of its sequences, or fewer whole ones.
-GAP = 1e-5
+GAP = 1e-3
 BLOCK_BYTES = 8 << 20
 
 
