@@ -87,16 +87,18 @@ def _moved(rows: DataFrame, centres: Centres) -> list[list[float]]:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, width + 1), object)
         for batch in batches:
-            points = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
-            for at in range(0, len(points), ROWS_AT_ONCE):
-                some = points[at : at + ROWS_AT_ONCE]
+            points = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns])  # a row per feature
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = points[:, at : at + ROWS_AT_ONCE]
                 if np.abs(some).max(initial=0) >= MOST:
                     raise ValueError(f"a feature lies beyond {MOST}")
-                label, _ = nearest(some, sent.value)
-                units = np.column_stack([np.floor(some / UNIT + 0.5).astype(np.int64), np.ones(len(some), np.int64)])
+                label, _ = nearest(some.T, sent.value)
+                units = np.floor(some * (1 / UNIT) + 0.5).astype(np.int64)
                 order = np.argsort(label, kind="stable")
-                firsts = np.flatnonzero(np.r_[True, np.diff(label[order]) != 0])
-                total[label[order][firsts]] += np.add.reduceat(units[order], firsts, axis=0).astype(object)
+                firsts = np.flatnonzero(np.diff(label[order], prepend=-1))
+                own = label[order[firsts]]
+                total[own, :width] += np.add.reduceat(units[:, order], firsts, axis=1).T.astype(object)
+                total[own, width] += np.diff(firsts, append=some.shape[1]).astype(object)
         used = np.flatnonzero(total[:, width] > 0)
         yield pa.RecordBatch.from_pydict({
             "label": pa.array(used, pa.int64()), "n": pa.array(total[used, width].tolist(), pa.int64()),
