@@ -21,6 +21,8 @@ CURRENT_FEATURES = CASUAL_METRICS
 CLUSTERS = 10
 SEED = 1
 CENTRES_PER_BLOCK = 1_000
+# Bytes that a task of a fit holds at most; a row takes up its features and about OVERHEAD more numbers.
+TASK_BYTES, OVERHEAD = 32 << 20, 9
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> None:
@@ -51,14 +53,17 @@ def fit_clusters(
     partitions: int | None = None,
 ) -> PipelineModel:
     """Fit k-means. Pass a stored table; ``partitions`` spreads an unevenly stored one once, before the
-    iterations."""
+    iterations. Rows come in more parts where so many, or those they are stored in, would hold more than TASK_BYTES each."""
     require_columns(df, features)
     vector = "_vector" if scale else "features"
     stages = [VectorAssembler(inputCols=features, outputCol=vector, handleInvalid="skip")]
     if scale:
         stages.append(StandardScaler(inputCol=vector, outputCol="features", withMean=True))
     rows = df.select(*features)
-    return Pipeline(stages=[*stages, KMeans(k=k, seed=seed)]).fit(rows.repartition(partitions) if partitions else rows)
+    least = -(-rows.count() * (len(features) + OVERHEAD) * 8 // TASK_BYTES)
+    if partitions or least > rows.rdd.getNumPartitions():
+        rows = rows.repartition(max(partitions or 1, least))
+    return Pipeline(stages=[*stages, KMeans(k=k, seed=seed)]).fit(rows)
 
 
 def centres(model: PipelineModel) -> list[list[float]]:

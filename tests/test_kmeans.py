@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from obsframe.operators import kmeans
+from obsframe.operators import cluster, kmeans
 from obsframe.operators.kmeans import CentreBlocks, Centres, assign_centres, assign_many, fit_centres, seeds
 
 
@@ -103,3 +103,17 @@ def test_many_centres(spark, monkeypatch):
         assert got[i] == list(known)[((values - np.array(v, np.float32).astype(float)) ** 2).sum(1).argmin()]
     assert [got[i] for i, _ in odd] == [None] * 4
     assert {r.prediction for r in assign_many(table, "v", centres.where("false")).collect()} == {None}
+
+
+def test_a_fit_has_tasks_by_bytes(spark, monkeypatch):
+    """Not by the number of cores alone, which would give each task more as the rows grow."""
+    parts = []
+    real = cluster.Pipeline.fit
+    monkeypatch.setattr(cluster.Pipeline, "fit", lambda self, rows: parts.append(rows.rdd.getNumPartitions()) or real(self, rows))
+    rows = spark.range(4000, numPartitions=2).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"))
+    row = 8 * (2 + cluster.OVERHEAD)
+    for bytes_, partitions in ((4000 * row, 3), (500 * row, 3), (500 * row, None), (4000 * row, None)):
+        monkeypatch.setattr(cluster, "TASK_BYTES", bytes_)
+        model = cluster.fit_clusters(rows, ["a", "b"], k=3, partitions=partitions)
+        assert cluster.assign_clusters(model, rows).count() == 4000
+    assert parts == [3, 8, 8, 2]
