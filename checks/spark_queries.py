@@ -41,7 +41,7 @@ from obsframe.sources.records import page_index, read_records, register_paged_re
 from obsframe.sources.requests import build_requests, failed, profile, succeeded
 from obsframe.sources.streams import stored_messages
 from obsframe.sources.transports import StoredPages
-from obsframe.streaming.ingest import ingest_to_folder, read_distinct, read_folder, start_distinct
+from obsframe.streaming.ingest import MESSAGES_PER_TASK, ingest_to_folder, read_distinct, read_folder, start_distinct
 from obsframe.streaming.store import ingest_to_tables, stream_tables
 from obsframe.workspace import materialize, new_path
 
@@ -553,8 +553,10 @@ def q_stream_tables(spark, sf):
     """Readings that came twice, in four batches, in tables that merge every two batches of a day."""
     root = new_path(spark, "stream-tables")
     messages = event_messages(spark, sf)
-    folder = store_messages(messages.repartition(2), copies=2)
-    stream = stored_messages(spark, folder, maxFilesPerTrigger="1")
+    # Files of bounded size, half of a copy in each batch.
+    files = max(1, -(-given(spark, sf, "events").count() // (2 * MESSAGES_PER_TASK)))
+    folder = store_messages(messages.repartition(2 * files), copies=2)
+    stream = stored_messages(spark, folder, maxFilesPerTrigger=str(files))
     ingest_to_tables(stream, root, f"{root}/progress", available_now=True, merge=2).awaitTermination()
     found = stream_tables(spark, root)["current"].read()
     return found.select("locationID", F.date_format("time", MICROS).alias("time"))

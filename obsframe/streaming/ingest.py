@@ -36,6 +36,8 @@ Sink = Callable[[str, DataFrame, int], None]
 Stored = Callable[[SparkSession, int, list[date]], DataFrame | None]
 # So many days are listed in one read.
 DAYS_PER_READ = 300
+# Messages whose parsed rows a task holds.
+MESSAGES_PER_TASK = 100_000
 
 
 def with_shard(messages: DataFrame) -> DataFrame:
@@ -96,6 +98,12 @@ def unseen(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
     return once if stored is None else once.join(stored, KEY, "left_anti")
 
 
+def spread(messages: DataFrame) -> DataFrame:
+    """The messages in tasks of up to MESSAGES_PER_TASK, however unevenly they come."""
+    least = -(-messages.count() // MESSAGES_PER_TASK)
+    return messages.repartition(max(least, messages.rdd.getNumPartitions())) if least > 1 else messages
+
+
 def start_ingest(
     messages: DataFrame, checkpoint: str, write: Sink, stored: Stored, available_now: bool = False,
 ) -> StreamingQuery:
@@ -108,7 +116,7 @@ def start_ingest(
     def store(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        parsed = valid_messages(parse_messages(with_shard(batch), "shard")).persist()
+        parsed = valid_messages(parse_messages(with_shard(spread(batch)), "shard")).persist()
         try:
             readings = with_day(current_rows(parsed, "shard"))
             days = days_of(readings)

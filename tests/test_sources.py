@@ -189,6 +189,20 @@ def test_ingest_restarts_and_replays(spark, tmp_path):
     assert ingest(spark, folder, root) == (second, 10)
 
 
+def test_a_large_file_is_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("obsframe.streaming.ingest.MESSAGES_PER_TASK", 10, raising=False)
+    folder, seen = str(tmp_path / "in"), {}
+    put(spark, folder, *[(1, n, "2024-05-01T10:15", 20.0) for n in range(45)])  # one file
+
+    def write(table, rows, batch_id):
+        seen[table] = [len(p) for p in rows.rdd.glom().collect()]
+
+    stream = stored_messages(spark, folder, maxFilesPerTrigger="1")
+    start_ingest(stream, str(tmp_path / "progress"), write, lambda *_: None, available_now=True).awaitTermination()
+    assert sum(seen["current"]) == 45 and sum(seen["daily"]) == 90
+    assert len(seen["daily"]) >= 5 and max(seen["daily"]) <= 20  # two forecasts a message
+
+
 def test_ingest_of_bad_messages_only(spark, tmp_path):
     folder, root = str(tmp_path / "in"), str(tmp_path / "out")
     bad = spark.createDataFrame([("weather_1", "{")], "topic string, value string")
