@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.operators.lookup import is_small
+from obsframe.workspace import materialize
 
 # Features are summed in whole units, so sums are exact in any order.
 UNIT = 2.0**-20
 MOST = 2.0**31
-ROWS_AT_ONCE = 8_192
+ROWS_AT_ONCE = 2_048
+# So many bytes of rows are one binary value where rounds read them.
+PACK_BYTES = 4_096
 # Centres of a block share a ball; rows that no ball can bring nearer skip its block.
 CENTRES_AT_ONCE = 256
 
@@ -63,15 +66,16 @@ def fit_centres(df: DataFrame, features: list[str], k: int, key: str, rounds: in
     """Centres after up to ``rounds`` rounds, or once no centre moves, of the (stored) rows; sorted, so labels do not
     depend on the order of seeds. Begins with :func:`seeds`, or ``given`` centres.
 
-    A round is one pass: tasks add up the features of the rows nearest to each centre, in whole UNITs, and only these
-    sums are shuffled. Each distance is added up feature by feature, ties go to the first centre, and a centre without
-    rows stays. So the same rows give the same centres in any partitioning, order or cluster. Rows with a feature that
-    is no finite number take no part; one beyond MOST fails the job.
+    The features are stored once as bytes, which rounds read as they are. A round is one pass: tasks add up the features
+    of the rows nearest to each centre, in whole UNITs, and only these sums are shuffled. Each distance is added up
+    feature by feature, ties go to the first centre, and a centre without rows stays. So the same rows give the same
+    centres in any partitioning, order or cluster. Rows with a feature that is no finite number take no part; one beyond
+    MOST fails the job.
     """
     centres = given or seeds(df, features, k, key)
-    if not centres.values:
-        return centres
-    rows = complete(df.select(*features), features)
+    if not centres.values or rounds < 1:
+        return Centres(features, sorted(centres.values))
+    rows = materialize(_packed(complete(df.select(*features), features)), "kmeans-points")
     for _ in range(rounds):
         moved = _moved(rows, centres)
         if moved == centres.values:
@@ -80,6 +84,21 @@ def fit_centres(df: DataFrame, features: list[str], k: int, key: str, rounds: in
     return Centres(features, sorted(centres.values))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """(points): the numbers of some rows one after the other, as bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if np.abs(points).max(initial=0) >= MOST:
+                raise ValueError(f"a feature lies beyond {MOST}")
+            some = max(1, PACK_BYTES // (8 * points.shape[1]))
+            packs = [points[at : at + some].tobytes() for at in range(0, len(points), some)]
+            yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], ["points"])
+
+    return rows.mapInArrow(pack, "points binary")
+
+
 def _moved(rows: DataFrame, centres: Centres) -> list[list[float]]:
     sent = rows.sparkSession.sparkContext.broadcast(np.array(centres.values))  # k x features numbers
     k, width = len(centres.values), len(centres.features)
@@ -87,18 +106,16 @@ def _moved(rows: DataFrame, centres: Centres) -> list[list[float]]:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, width + 1), object)
         for batch in batches:
-            points = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns])  # a row per feature
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = points[:, at : at + ROWS_AT_ONCE]
-                if np.abs(some).max(initial=0) >= MOST:
-                    raise ValueError(f"a feature lies beyond {MOST}")
-                label, _ = nearest(some.T, sent.value)
+            points = _points(batch.column(0), width)
+            for at in range(0, len(points), ROWS_AT_ONCE):
+                some = points[at : at + ROWS_AT_ONCE]
+                label = first_nearest(some, sent.value)
                 units = np.floor(some * (1 / UNIT) + 0.5).astype(np.int64)
-                order = np.argsort(label, kind="stable")
+                order = np.argsort(label.astype(np.int16) if k < 1 << 15 else label, kind="stable")
                 firsts = np.flatnonzero(np.diff(label[order], prepend=-1))
                 own = label[order[firsts]]
-                total[own, :width] += np.add.reduceat(units[:, order], firsts, axis=1).T.astype(object)
-                total[own, width] += np.diff(firsts, append=some.shape[1]).astype(object)
+                total[own, :width] += np.add.reduceat(units[order], firsts, axis=0).astype(object)
+                total[own, width] += np.diff(firsts, append=len(some)).astype(object)
         used = np.flatnonzero(total[:, width] > 0)
         yield pa.RecordBatch.from_pydict({
             "label": pa.array(used, pa.int64()), "n": pa.array(total[used, width].tolist(), pa.int64()),
@@ -116,6 +133,29 @@ def _moved(rows: DataFrame, centres: Centres) -> list[list[float]]:
     return moved
 
 
+def _points(packs: pa.Array, width: int) -> np.ndarray:
+    """The rows of :func:`_packed` values, which lie one after the other."""
+    packs = packs.cast(pa.binary())
+    if not len(packs):
+        return np.empty((0, width))
+    offsets = np.frombuffer(packs.buffers()[1], np.int32)[packs.offset : packs.offset + len(packs) + 1]
+    return np.frombuffer(packs.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.float64).reshape(-1, width)
+
+
+def first_nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The label of :func:`nearest`. Products of matrices settle the points whose nearest centre is nearer than the
+    others by more than rounding can change; distances are added up for the rest."""
+    with np.errstate(all="ignore"):
+        far = points @ (-2 * centres.T) + np.einsum("ij,ij->i", centres, centres)
+        label = far.argmin(axis=1)
+        doubt = np.einsum("ij,ij->i", points, points) + np.einsum("ij,ij->i", centres, centres).max()
+        doubt *= 64 * (points.shape[1] + 4) * np.finfo(float).eps
+        close = np.flatnonzero((far <= (far[np.arange(len(points)), label] + doubt)[:, None]).sum(axis=1) != 1)
+    if len(close):
+        label[close] = nearest(points[close], centres)[0]
+    return label
+
+
 def squares(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances, added up feature by feature, so that every engine gets the same numbers."""
     total = np.zeros((len(points), len(centres)))
@@ -134,18 +174,22 @@ def nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def assign_centres(df: DataFrame, centres: Centres) -> DataFrame:
-    """Add ``prediction``, the label of the nearest centre, to the rows whose features are finite numbers; an
-    expression without Python, for as few centres as a job has clusters."""
+    """Add ``prediction``, the label of the nearest centre, to the rows whose features are finite numbers. Only the
+    features go through Python: one expression of k distances would be more code than a JVM compiles."""
     rows = df.where(finite(centres.features))
     if not centres.values:
         return rows.withColumn("prediction", F.lit(None).cast("int")).where(F.lit(False))
-    values = [F.col(f).cast("double") for f in centres.features]
-    apart = [reduce(Column.__add__, [(v - x) * (v - x) for v, x in zip(values, c)]) for c in centres.values]
-    if len(apart) == 1:
+    if len(centres.values) == 1:
         return rows.withColumn("prediction", F.lit(0))
-    kept = rows.withColumns({f"_far{n}": a for n, a in enumerate(apart)}).withColumn("_least", F.least(*[f"_far{n}" for n in range(len(apart))]))
-    label = reduce(lambda rest, n: F.when(F.col(f"_far{n}") == F.col("_least"), n).otherwise(rest), reversed(range(len(apart))), F.lit(None).cast("int"))
-    return kept.withColumn("prediction", label).select(*df.columns, "prediction")
+    values = np.array(centres.values)
+
+    def label(*columns: pa.Array) -> pa.Array:
+        points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
+        found = [first_nearest(points[at : at + ROWS_AT_ONCE], values) for at in range(0, len(points), ROWS_AT_ONCE)]
+        return pa.array(np.concatenate([*found, np.empty(0, np.int64)]), pa.int32())
+
+    labelled = F.arrow_udf(label, "int", F.ArrowUDFType.SCALAR)(*[F.col(f).cast("double") for f in centres.features])
+    return rows.withColumn("prediction", labelled).select(*df.columns, "prediction")
 
 
 class CentreBlocks:

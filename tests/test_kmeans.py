@@ -117,3 +117,27 @@ def test_a_fit_has_tasks_by_bytes(spark, monkeypatch):
         model = cluster.fit_clusters(rows, ["a", "b"], k=3, partitions=partitions)
         assert cluster.assign_clusters(model, rows).count() == 4000
     assert parts == [3, 8, 8, 2]
+
+
+def test_products_give_the_labels_of_plain_distances(spark):
+    rnd = np.random.default_rng(6)
+    for shift in (0.0, 1e6, 1e9):  # the larger, the more rounding leaves to plain distances
+        centres = np.round(rnd.normal(shift, 3, (12, 5)), 1)
+        centres[7] = centres[2]
+        between = (centres[rnd.integers(0, 12, 500)] + centres[rnd.integers(0, 12, 500)]) / 2  # many ties
+        points = np.concatenate([between, centres, np.round(rnd.normal(shift, 3, (500, 5)), 1)])
+        assert kmeans.first_nearest(points, centres).tolist() == kmeans.nearest(points, centres)[0].tolist()
+    huge = np.array([[1e200, 0.0], [0.0, 0.0]])
+    assert kmeans.first_nearest(huge, huge[::-1]).tolist() == kmeans.nearest(huge, huge[::-1])[0].tolist()
+
+
+def test_rounds_read_bytes(points, monkeypatch):
+    """Rounds neither filter nor convert the rows again, and labels are no expression of k distances."""
+    seen = []
+    real = kmeans._moved
+    monkeypatch.setattr(kmeans, "_moved", lambda rows, centres: seen.append((rows.columns, rows.count())) or real(rows, centres))
+    monkeypatch.setattr(kmeans, "PACK_BYTES", 100)  # four rows
+    found = fit_centres(points.coalesce(1), FEATURES, 3, "id", rounds=2)
+    assert seen == [(["points"], 750)] * 2
+    plan = assign_centres(points, found)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "_least" not in plan
