@@ -9,14 +9,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from obsframe.llm.common import blocks, raw_texts
-from obsframe.workspace import materialize
+from obsframe.llm.common import blocks, raw_texts, text_bytes
+from obsframe.workspace import materialize, new_path, run as run_folder
 
 DEPTH = 5
-# A context is a node of the tree if it has at least this share of the bytes learned from, so there are at most
-# 2**17 nodes per depth; the rarer ones below a node share one leaf.
-NODE_SHARE = 2.0**-17
+# Neighbouring texts of about so many bytes, at most twice as many, are a part, which looks up each of its different
+# sequences once. A longer text is a part alone.
+PART_BYTES = 16 << 20
+# Contexts that agree in their last bytes, so many, are weighed in one task; about so many sequences go into a group.
+SUFFIX, GROUP = 3, 1 << 17
+# Values are handed on to the parts beyond so many.
+MOST_VALUES = 1 << 20
 # A word is frequent with this share of all words, so there are at most 2**18 frequent ones; one longer than LONGEST bytes
 # is never sent to the driver, but joined.
 WORD_SHARE, LONGEST = 2.0**-18, 64
@@ -50,12 +55,17 @@ def before(data: np.ndarray, lengths: np.ndarray, depth: int) -> list[np.ndarray
     return out
 
 
-def grams(data: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(context and byte, how often): the byte lowest, then the one before it, and so on."""
+def sequences(data: np.ndarray, lengths: np.ndarray, depth: int) -> np.ndarray:
+    """Each byte with its context: the byte lowest, then the one before it, and so on."""
     key = data.astype(np.int64)
     for k, b in enumerate(before(data, lengths, depth), 1):
         key |= b.astype(np.int64) << 8 * k
-    return np.unique(key, return_counts=True)
+    return key
+
+
+def grams(data: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context and byte, how often), by context and byte as a number."""
+    return np.unique(sequences(data, lengths, depth), return_counts=True)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -85,7 +95,9 @@ def estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """The weighted tree, over symbols: the bytes that were seen, and one symbol for all others, which are equally
+    """The weighted tree of few contexts, whole in one process; :func:`weigh` does the same on Spark for any number.
+
+    It is over symbols: the bytes that were seen, and one symbol for all others, which are equally
     likely among themselves. States below ``inner`` have children: ``step[state, symbol]`` goes one byte back. The
     others are leaves: ``bits[state - inner, symbol]`` is the log10 probability of a byte after one."""
 
@@ -182,40 +194,194 @@ def log_probabilities(data: np.ndarray, lengths: np.ndarray, tree: tuple) -> np.
     return np.add.reduceat(logs, np.cumsum(lengths) - lengths, dtype=np.float64) if len(lengths) else np.empty(0)
 
 
-def learn_tree(texts: DataFrame, depth: int = DEPTH) -> Tree:
-    """The tree of the texts (column ``text``), counted over all of them.
+def packed(rows: pa.RecordBatch) -> bytes:
+    """The rows as they travel: compressed, so that texts and their values take up little disk in a shuffle."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(column: pa.ChunkedArray | pa.Array) -> Iterator[pa.RecordBatch]:
+    for value in column:
+        yield from pa.ipc.open_stream(value.as_buffer())
 
-    Tasks count sequences in their part, which add up in a shuffle. Only the nodes reach the driver: those contexts,
-    at most 2**17 per depth, that have the share NODE_SHARE of all bytes.
-    """
+
+def pack(part: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([packed(rows)], pa.binary())], ["part", "rows"])
+
+
+def in_parts(texts: DataFrame, size: int) -> DataFrame:
+    """(part, rows): the rows of ``texts`` (``text``) in packed blocks, with a row number ``nth`` and the number of their
+    part: the ``nth`` of its first text. Small partitions are read together, by the ``size`` of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        part, held = None, 0
         for block in blocks(batches, "text", BLOCK_BYTES):
-            held.append(grams(*stream([normal(t) for t in raw_texts(block.column("text"))]), depth))
-            if len(held) == 8:
-                held = [merged(held)]
+            size = sum(text_bytes(block.column("text")))
+            if part is None or held + size > 2 * PART_BYTES:
+                part, held = block.column("nth")[0].as_py(), 0
+            held += size
+            yield pack(part, block)
+
+    together = texts.coalesce(max(1, math.ceil(size / PART_BYTES)))
+    return together.withColumn("nth", F.monotonically_increasing_id()).mapInArrow(run, "part bigint, rows binary")
+
+
+def count_sequences(parts: DataFrame, depth: int) -> DataFrame:
+    """(part, gram, n): how often each sequence comes in the texts to learn from (``learns``) of a part; those of other
+    texts only are there with 0. A part that several tasks read has rows from each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            for number, block in zip(batch.column("part").to_pylist(), unpacked(batch.column("rows"))):
+                if held and number != part:
+                    yield from out(part, held)
+                    held = []
+                part = number
+                split = [normal(t) for t in raw_texts(block.column("text"))]
+                for learned in (True, False):
+                    chosen = [w for w, learns in zip(split, block.column("learns").to_pylist()) if learns == learned]
+                    if chosen:
+                        keys, counts = grams(*stream(chosen), depth)
+                        held.append((keys, counts if learned else np.zeros_like(counts)))
+                if len(held) >= 8:
+                    held = [merged(held)]
+        if held:
+            yield from out(part, held)
+
+    def out(part: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, counts = merged(held)
+        for at in range(0, len(keys), 1 << 17):
+            some = keys[at : at + (1 << 17)]
+            columns = [np.full(len(some), part), some, counts[at : at + (1 << 17)]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "gram", "n"])
+
+    return parts.mapInArrow(run, "part bigint, gram bigint, n bigint")
+
+
+def by_part(values: DataFrame) -> DataFrame:
+    """(part, rows): (gram, value) of ``values`` in packed blocks of one part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= MOST_VALUES:
+                yield from out(held)
+                held, size = [], 0
         if held:
-            keys, counts = merged(held)
-            for at in range(0, len(keys), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 17)]), pa.array(counts[at : at + (1 << 17)])], ["gram", "n"])
-
-    counted = texts.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    counted = materialize(counted, "grams")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    levels: list[dict[int, np.ndarray]] = []
-    for d in range(depth + 1):
-        context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("context")
-        byte = F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("byte")
-        sums = counted.groupBy(context, byte).agg(F.sum("n").alias("n"))
-        nodes = sums.groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("byte", "n")).alias("next"))
-        levels.append({})
-        for row in nodes.where(F.col("total") >= total * NODE_SHARE).select("context", "next").toLocalIterator():
-            counts = np.zeros(256, np.int64)
-            for byte_, n in row.next:
-                counts[byte_] = n
-            levels[-1][row.context] = counts
-    return Tree(levels)
+            yield from out(held)
+
+    def out(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        order = np.lexsort((table.column("gram").to_numpy(), table.column("part").to_numpy()))
+        rows = table.take(pa.array(order)).combine_chunks()
+        parts = rows.column("part").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+        for start, end in zip(edges, edges[1:]):
+            for some in rows.select(["gram", "value"]).slice(start, end - start).to_batches():
+                yield pack(int(parts[start]), some)
+
+    return values.select("part", "gram", "value").mapInArrow(run, "part bigint, rows binary")
+
+
+@F.arrow_udf(T.DoubleType())
+def own_estimate(zeros: pa.Array, ones: pa.Array) -> pa.Array:
+    return pa.array(estimate(zeros.to_numpy().astype(np.float64), ones.to_numpy().astype(np.float64)))
+
+
+def above(d: int) -> int:
+    """The bits of a node that its node at depth ``d - 1`` has too."""
+    return (1 << 8 * d) - 1
+
+
+def decisions(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, bit) of the eight decisions of each sequence, (8, rows). A node is a context and one of the 255 decisions
+    of a byte, as in :func:`bit_counts`: the number of the decision is lowest, then comes the context."""
+    byte, k = grams & 255, np.arange(8)[:, None]
+    return grams - byte + (byte + 256 >> 8 - k), byte >> 7 - k & 1
+
+
+def climb(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[np.ndarray, list[tuple], np.ndarray]:
+    """(place of each decision among the deepest nodes; per depth, deepest first, the nodes, their zeros and ones, the
+    share of the own estimate, and the place of the node above; log of the weighted probability at depth ``top``)."""
+    nodes, bits = decisions(grams)
+    keys, place = np.unique(nodes, return_inverse=True)
+    place, times = place.reshape(nodes.shape), np.broadcast_to(n, nodes.shape)
+    zeros, ones = (np.bincount(place.ravel(), (times * (bits == bit)).ravel(), len(keys)) for bit in (0, 1))
+    weighted, share, levels = estimate(zeros, ones), np.ones(len(keys)), []
+    for d in range(depth, top, -1):
+        upper, up = np.unique(keys & above(d), return_inverse=True)
+        levels.append((keys, zeros, ones, share, up))
+        zeros, ones, below = (np.bincount(up, x, len(upper)) for x in (zeros, ones, weighted))
+        own, keys = estimate(zeros, ones), upper
+        weighted = np.logaddexp(own, below) - math.log(2)
+        share = 1 / (1 + np.exp(np.clip(below - own, -80, 80)))
+    return place, [*levels, (keys, zeros, ones, share, None)], weighted
+
+
+def weigh(sums: DataFrame, depth: int) -> DataFrame:
+    """(gram, value) per row of ``sums`` (gram, n): log10 of the probability of its byte after its context, by the
+    weighted tree of all contexts with ``n`` above 0.
+
+    Going up, nodes add up what lies below them; going down, they share out the weight that is left. Tasks do so for
+    groups of contexts that agree in their last SUFFIX bytes, sums and joins by node do it above them. What was not
+    learned has no counts, so halves everywhere.
+    """
+    top = min(SUFFIX, depth)
+    groups = max(1, math.ceil(sums.count() / GROUP))
+
+    def grouped(rows: DataFrame, column: str) -> DataFrame:
+        suffix = F.shiftright(column, 8).bitwiseAND(F.lit(above(top)))
+        return rows.withColumn("group", F.pmod(F.xxhash64(suffix), F.lit(groups))).groupBy("group")
+
+    def rise(rows: pa.Table) -> pa.Table:
+        _, levels, weighted = climb(rows.column("gram").to_numpy(), rows.column("n").to_numpy(), depth, top)
+        return pa.table(dict(zip(("node", "zeros", "ones", "share", "weighted"), (*levels[-1][:4], weighted))))
+
+    def descend(rows: pa.Table, mixed: pa.Table) -> pa.Table:
+        grams = rows.column("gram").to_numpy()
+        place, levels, _ = climb(grams, rows.column("n").to_numpy(), depth, top)
+        mixed = mixed.sort_by("node")  # the nodes of the highest level here
+        one, rest = mixed.column("one").to_numpy(), mixed.column("rest").to_numpy()
+        for _, zeros, ones, share, up in levels[-2::-1]:
+            one, rest = one[up] + rest[up] * share * (ones + 0.5) / (zeros + ones + 1), rest[up] * (1 - share)
+        _, bits = decisions(grams)
+        p = one[place]
+        return pa.table({"gram": grams, "value": np.log10(np.where(bits, p, 1 - p)).sum(axis=0).astype(np.float32)})
+
+    level = grouped(sums, "gram").applyInArrow(rise, "node bigint, zeros double, ones double, share double, weighted double")
+    levels = [materialize(level, "nodes")]
+    for d in range(top, 0, -1):
+        node = F.col("node").bitwiseAND(F.lit(above(d)))
+        level = levels[-1].groupBy(node.alias("node")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
+        level = level.withColumn("own", own_estimate("zeros", "ones"))
+        weighted = F.greatest("own", "below") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("below")))) - math.log(2)
+        share = 1 / (1 + F.exp(F.col("below") - F.col("own")))
+        levels.append(materialize(level.select("node", "zeros", "ones", weighted.alias("weighted"), share.alias("share")), "nodes"))
+    # Of a 1, by the nodes so far; the rest is for those below.
+    chance = F.col("share") * (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+    mixed = levels.pop().select("node", chance.alias("one"), (1 - F.col("share")).alias("rest"))
+    for d in range(1, top + 1):
+        upper = mixed.select(F.col("node").alias("up"), "one", "rest")
+        mixed = levels.pop().withColumn("up", F.col("node").bitwiseAND(F.lit(above(d)))).join(upper, "up").select(
+            "node", (F.col("one") + F.col("rest") * chance).alias("one"), (F.col("rest") * (1 - F.col("share"))).alias("rest"),
+        )
+    return grouped(sums, "gram").cogroup(grouped(mixed, "node")).applyInArrow(descend, "gram bigint, value float")
+
+
+def look_up(keys: np.ndarray, grams: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each key, by ascending ``grams`` that hold all of them."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    found = np.empty(len(keys))
+    found[order] = values[np.searchsorted(grams, ranked[new])][np.cumsum(new) - 1]
+    return found
 
 
 def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -259,6 +425,9 @@ def score(
     the tokens of the rows where ``learns`` holds. ``score`` is the log10 probability, by the context tree of those
     rows, of the words with single blanks between them and an end; ``code_bits`` is its code length per byte.
 
+    Every context of up to ``depth`` bytes (at most 7) that was learned is a node of the tree, however rare. Sequences
+    are counted by part, weighed on Spark, and each part gets the values of its own ones; no table of them is held whole.
+
     A NULL or empty text is an end only, long texts are scored whole, repeated rows each, a NULL key stays one. With
     nothing to learn from all bytes are alike. Other columns are not looked at.
 
@@ -266,24 +435,30 @@ def score(
     counts. A long word that is frequent may be a hot key there; it comes once per text, and adaptive execution splits it.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"))
-    rows = rows.withColumn("nth", F.monotonically_increasing_id())
     spark = docs.sparkSession
-    tree = learn_tree(rows.where("learns"), depth)
     words = materialize(count_words(rows), "word-counts")
-    learned, everything, distinct = words.agg(F.sum("learned"), F.sum("n"), F.count_if(F.col("learned") > 0)).first()
-    ends = rows.where("learns").count()
+    learned, everything, distinct, size = words.agg(
+        F.sum("learned"), F.sum("n"), F.count_if(F.col("learned") > 0), F.sum(F.col("n") * (F.octet_length("word") + 1)),
+    ).first()
+    ends, number = rows.agg(F.count_if("learns"), F.count("*")).first()
     tokens, kinds = (learned or 0) + ends, distinct + (ends > 0)
     short = F.octet_length("word") <= LONGEST
     frequent = words.where((F.col("n") >= (everything or 0) * WORD_SHARE) & short).select("word", "learned").toArrow()
     table = {w: math.log10(c + 1) for w, c in zip(frequent.column("word").to_pylist(), frequent.column("learned").to_pylist())}
-    shared = spark.sparkContext.broadcast((tree.parts(), table))
+    shared = spark.sparkContext.broadcast(table)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs = shared.value
-        for block in blocks(batches, "text", BLOCK_BYTES):
+    def run(texts: pa.Table, values: pa.Table) -> pa.Table:
+        known = pa.Table.from_batches(unpacked(values.column("rows"))).sort_by("gram")
+        grams, chances = known.column("gram").to_numpy(), known.column("value").to_numpy()
+        return pa.Table.from_batches(scored(unpacked(texts.column("rows")), grams, chances))
+
+    def scored(batches: Iterator[pa.RecordBatch], known: np.ndarray, chances: np.ndarray) -> Iterator[pa.RecordBatch]:
+        logs = shared.value
+        for block in batches:
             split = [normal(t) for t in raw_texts(block.column("text"))]
             data, lengths = stream(split)
-            values = log_probabilities(data, lengths, model)
+            each = look_up(sequences(data, lengths, depth), known, chances)
+            values = np.add.reduceat(each, np.cumsum(lengths) - lengths)
             sums, seen, rare, times, offsets = [], [], [], [], [0]
             for found in split:
                 counts = Counter(found)
@@ -307,10 +482,18 @@ def score(
             ], ["key", "nth", "n_tokens", "seen", "sums", "score", "bytes", "rare"])
 
     kind = docs.schema[key].dataType.simpleString()
-    found = rows.select("key", "nth", "text").mapInArrow(
-        run, f"key {kind}, nth bigint, n_tokens bigint, seen bigint, sums double, score double, bytes bigint, rare array<struct<word:binary,n:bigint>>"
-    )
-    found = materialize(found, "scores")
+    path = new_path(spark, "scores")
+    with run_folder(spark):  # all tables but the scores go at its end
+        texts = materialize(in_parts(rows, (size or 0) + number), "texts")
+        counted = materialize(count_sequences(texts, depth), "grams")
+        sums = materialize(counted.groupBy("gram").agg(F.sum("n").alias("n")), "sums")
+        values = materialize(weigh(sums, depth), "values")
+        values = by_part(counted.select("part", "gram").join(values.hint("shuffle_hash"), "gram"))
+        found = texts.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(
+            run, f"key {kind}, nth bigint, n_tokens bigint, seen bigint, sums double, score double, bytes bigint, rare array<struct<word:binary,n:bigint>>"
+        )
+        found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
     rest = found.select("nth", F.inline("rare")).join(words.where(F.col("learned") > 0).select("word", "learned"), "word")
     rest = rest.groupBy("nth").agg(
         F.sum("n").alias("more_seen"), F.sum(F.col("n") * F.log10(F.col("learned") + 1)).alias("more"),

@@ -102,3 +102,19 @@ def test_words_of_any_length_are_counted(spark, monkeypatch):
         base = sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in words) + math.log10(21 / (total + kinds + 1))
         assert found[key].base_score == pytest.approx(base, rel=1e-9)
         assert found[key].n_known == sum(counts[w] > 0 for w in words) + 1
+
+
+def test_rare_contexts_are_nodes_at_any_size(spark):
+    """Contexts seen once among 300,000 bytes and more: each has its own estimate, as in the recursion."""
+    rows = [(n, "a" * 60_000) for n in range(6)] + [(6, "Xyz qrst"), (7, "cab baz qrs"), (8, None), (9, "xyz qrst"), (10, "qrs! é ab")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    learns = docs.doc_id < 9
+    lines = [b" ".join((t or "").encode().lower().split()) + b"\n" for _, t in rows]
+    depth = 4
+    plain = plain_tree(lines[:9], depth)
+    found = {r.doc_id: r.score for r in context_tree.score(docs, learns, depth=depth).collect()}
+    assert len(found) == len(rows)
+    for key in range(6, 11):
+        whole = b"\n" * depth + lines[key]
+        expected = sum(plain(whole[at - depth : at], whole[at]) for at in range(depth, len(whole)))
+        assert found[key] == pytest.approx(expected, abs=1e-4)
