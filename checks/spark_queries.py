@@ -319,7 +319,7 @@ def q_cluster_assign(spark, sf):
 
 def _kmeans_check(df: DataFrame, features: list[str]) -> DataFrame:
     """How many rows were assigned, to how many clusters, and how many of them to another than the nearest."""
-    stored = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in features]), "kmeans-input")
+    stored = df.select(*[F.col(c).cast("double").alias(c) for c in features])
     model = cluster.fit_clusters(stored, features, partitions=df.sparkSession.sparkContext.defaultParallelism)
     found = cluster.centres(model)
     to_centre = [sum(((F.col(c) - x) * (F.col(c) - x) for c, x in zip(features, centre)), F.lit(0.0)) for centre in found]

@@ -1,16 +1,21 @@
 """k-means groups of readings and their summaries."""
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.functions.text import address_part, grid
-from obsframe.operators.kmeans import assign_many
+from obsframe.operators.kmeans import assign_many, first_nearest
+from obsframe.operators.kmeans_fit import fit_parallel, parts_of, points_of
 from obsframe.operators.lookup import is_small, lookup_join
 from obsframe.operators.nearest import nearest_place
 from obsframe.schemas import CASUAL_METRICS, DAILY_TEMPERATURES
@@ -48,12 +53,55 @@ def incomplete(df: DataFrame, features: list[str]) -> DataFrame:
     return df.where(gap)
 
 
+class CentresModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds ``prediction``, the first of the nearest centres, by numeric columns or, where none are named, the vector
+    ``features``. Like other models it can be saved."""
+
+    columns = Param(Params._dummy(), "columns", "numeric columns", TypeConverters.toListString)
+    centres = Param(Params._dummy(), "centres", "the centres, one after the other", TypeConverters.toListFloat)
+    k = Param(Params._dummy(), "k", "their number", TypeConverters.toInt)
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(np.reshape(self.getOrDefault("centres"), (self.getOrDefault("k"), -1)))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        values = np.array(self.clusterCenters())
+
+        def label(column: pa.Array) -> pa.Array:
+            found = [first_nearest(points, values) for points in parts_of(points_of(column), len(values))]
+            return pa.array(np.concatenate([*found, np.empty(0, np.int64)]), pa.int32())
+
+        labelled = F.arrow_udf(label, "int", F.ArrowUDFType.SCALAR)(_numbers(self.getOrDefault("columns")))
+        return dataset.withColumn("prediction", labelled)
+
+
+class StoredKMeans(Estimator):
+    """:func:`fit_parallel` of numeric columns or, where none are named, of the vector ``features``. A dataset that is
+    not ``stored`` is stored once."""
+
+    def __init__(self, k: int, seed: int, columns: list[str], stored: bool) -> None:
+        super().__init__()
+        self.k, self.seed, self.columns, self.stored = k, seed, columns, stored
+
+    def _fit(self, dataset: DataFrame) -> CentresModel:
+        rows = dataset.select(_numbers(self.columns).alias("point"))
+        found = fit_parallel(rows if self.stored else materialize(rows, "kmeans-rows"), self.k, self.seed)
+        return CentresModel()._set(columns=self.columns, centres=found.ravel().tolist(), k=len(found))
+
+
+def _numbers(columns: list[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns]) if columns else vector_to_array("features")
+
+
 def fit_clusters(
     df: DataFrame, features: list[str], k: int = CLUSTERS, seed: int = SEED, scale: bool = False,
     partitions: int | None = None,
 ) -> PipelineModel:
-    """Fit k-means. Pass a stored table; ``partitions`` spreads an unevenly stored one once, before the
-    iterations. Rows come in more parts where so many, or those they are stored in, would hold more than TASK_BYTES each."""
+    """Fit k-means. Pass a stored table.
+
+    Rows that ``partitions`` tasks (or one) hold with TASK_BYTES each are fitted by Spark ML, which keeps them between its
+    passes; ``partitions`` spreads them once, before that. More rows are neither spread nor kept: each pass reads the
+    table where it is, so that a fit takes up no disk; rows that are not stored are, in parts of TASK_BYTES."""
     require_columns(df, features)
     vector = "_vector" if scale else "features"
     stages = [VectorAssembler(inputCols=features, outputCol=vector, handleInvalid="skip")]
@@ -61,9 +109,14 @@ def fit_clusters(
         stages.append(StandardScaler(inputCol=vector, outputCol="features", withMean=True))
     rows = df.select(*features)
     least = -(-rows.count() * (len(features) + OVERHEAD) * 8 // TASK_BYTES)
-    if partitions or least > rows.rdd.getNumPartitions():
-        rows = rows.repartition(max(partitions or 1, least))
-    return Pipeline(stages=[*stages, KMeans(k=k, seed=seed)]).fit(rows)
+    if least <= (partitions or 1):
+        fit = KMeans(k=k, seed=seed)
+        rows = rows.repartition(partitions) if partitions else rows
+    else:
+        stored = bool(rows.inputFiles())
+        fit = StoredKMeans(k, seed, [] if scale else features, stored)
+        rows = rows if stored or least <= rows.rdd.getNumPartitions() else rows.repartition(least)
+    return Pipeline(stages=[*stages, fit]).fit(rows)
 
 
 def centres(model: PipelineModel) -> list[list[float]]:

@@ -3,9 +3,10 @@
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from obsframe.operators import cluster, kmeans
+from obsframe.operators import cluster, kmeans, kmeans_fit
 from obsframe.operators.kmeans import CentreBlocks, Centres, assign_centres, assign_many, fit_centres, seeds
 
 
@@ -141,3 +142,61 @@ def test_rounds_read_bytes(points, monkeypatch):
     assert seen == [(["points"], 750)] * 2
     plan = assign_centres(points, found)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "_least" not in plan
+
+
+def test_a_large_fit_reads_what_is_stored(spark, tmp_path, monkeypatch):
+    """Rows that tasks cannot hold are neither shuffled, nor kept in memory or on disk, nor stored again."""
+    rnd = np.random.default_rng(5)
+    middles = rnd.normal(0, 20, (6, 3))
+    points = middles[rnd.integers(0, 6, 4000)] + rnd.normal(0, 1, (4000, 3))
+    rows = [(*map(float, p),) for p in points] + [(None, 1.0, 1.0), (float("nan"), 1.0, 1.0)]
+    spark.createDataFrame(rows, "a double, b double, c double").repartition(3).write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    plain = cluster.centres(cluster.fit_clusters(stored, FEATURES, k=6))
+    monkeypatch.setattr(cluster, "TASK_BYTES", 1 << 12)
+
+    def refuse(*_, **__):
+        raise AssertionError("the rows were kept or moved")
+
+    kept = []
+    real = kmeans_fit._each
+    with monkeypatch.context() as m:
+        m.setattr(cluster, "materialize", refuse)
+        m.setattr(type(stored), "repartition", refuse)
+        m.setattr(kmeans_fit, "_each", lambda rows, *of: kept.append(spark.sparkContext._jsc.getPersistentRDDs().size()) or real(rows, *of))
+        before = spark.sparkContext._jsc.getPersistentRDDs().size()
+        model = cluster.fit_clusters(stored, FEATURES, k=6, partitions=2)
+    assert set(kept) == {before} and len(kept) > 4
+    assert np.allclose(cluster.centres(model), plain)
+    assert np.allclose(cluster.centres(model), sorted(points[kmeans.nearest(points, np.array(plain))[0] == c].mean(axis=0).tolist() for c in range(6)))
+    labels = cluster.assign_clusters(model, stored).collect()
+    assert len(labels) == 4000 and all(r.prediction == kmeans.nearest(np.array([r[:3]]), np.array(plain))[0][0] for r in labels[::100])
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert cluster.centres(again) == cluster.centres(model)
+    scaled = cluster.fit_clusters(stored, FEATURES, k=6, scale=True)
+    assert cluster.assign_clusters(scaled, stored).groupBy("prediction").count().count() == 6
+
+
+def test_a_large_fit_of_few_or_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "TASK_BYTES", 64)
+    few = spark.createDataFrame([(1.0, 2.0)] * 50 + [(3.0, 4.0)], "a double, b double")
+    assert cluster.centres(cluster.fit_clusters(few, ["a", "b"], k=5)) == [[1.0, 2.0], [3.0, 4.0]]
+    with pytest.raises(PySparkException, match="not finite"):
+        cluster.fit_clusters(few.union(spark.createDataFrame([(float("inf"), 1.0)], few.schema)), ["a", "b"], k=2)
+
+
+def test_a_draw_needs_no_sum_beforehand(spark):
+    """Rows are taken by their share of the sum over all tasks, about as many as are wanted."""
+    rnd = np.random.default_rng(1)
+    points = np.concatenate([rnd.normal(0, 1, (3000, 2)), rnd.normal(500, 1, (30, 2))])
+    rows = spark.createDataFrame([(p.tolist(),) for p in points], "point array<double>").repartition(5)
+    sizes = []
+    for seed in range(12):
+        found = kmeans_fit._each(rows, np.zeros((1, 2)), lambda parts, centres: kmeans_fit._drawn(parts, centres, 8, (seed, 0)), "cost double, bar double, point array<double>").collect()
+        cost = sum(r.cost for r in found if r.cost is not None)
+        assert cost == pytest.approx((points**2).sum())
+        taken = [r.point for r in found if r.point is not None and r.bar * cost < 8]
+        assert all(p in points for p in taken) and len(found) < 200
+        sizes.append(len(taken))
+    assert 5 < np.mean(sizes) < 11
