@@ -67,6 +67,39 @@ def test_the_tree_decides_on_what_no_name_marks_in_an_article(spark):
     assert without == [f"Title {k} Story {k}. Read us every day Note {k}" for k in range(40)]
 
 
+def test_no_text_goes_for_what_stands_beside_it(spark):
+    """Menus and adverts in an element are no reason to drop the element's own text, in an article or without any."""
+    pages = [(k, "http://a.example/", f"<body><div class=menu>Menu</div>Story {k} goes on.<ul class=nav><li>Home</ul></body>") for k in range(40)]
+    assert texts(spark, pages) == {k: f"Story {k} goes on." for k in range(40)}
+    copies = [(k, "http://b.example/", "<nav>Home</nav><article>Text that all pages share.<div class=ad>Buy</div></article>") for k in range(50)]
+    assert set(texts(spark, copies).values()) == {"Text that all pages share."}
+
+
+def test_copies_of_an_article_in_boxes_stay(spark):
+    """Wherever they lie: on one site, or one on each of many. What all articles of a site repeat goes all the same."""
+    page = "<nav><a href=/>Home</a></nav><article><div class=body><p>Same</p><div>Text that all pages share.</div></div></article><footer>End</footer>"
+    assert set(texts(spark, [(k, "http://h/", page) for k in range(60)]).values()) == {"Same Text that all pages share."}
+    assert set(texts(spark, [(k, f"http://h{k}/", page) for k in range(60)]).values()) == {"Same Text that all pages share."}
+    rows = [
+        (k, "http://h.example/", f"<article><div class=body><p>Story {k // 2}.</p></div><div class=x>Read us every day<hr></div></article>{'<p>beside</p>' * (k % 2)}")
+        for k in range(60)
+    ]
+    assert texts(spark, rows) == {k: f"Story {k // 2}." for k in range(60)}
+
+
+def test_an_article_counts_in_full(spark):
+    """Lines that some articles share, and texts between the parts of an important branch, are text of the article."""
+    rows = [
+        (k, "http://h.example/", f"<article><h1>Title {k}</h1><div class=by>By author {k % 4}</div><div>In short: <p>Story {k}.</p></div></article>") for k in range(40)
+    ]
+    assert texts(spark, rows) == {k: f"Title {k} By author {k % 4} In short: Story {k}." for k in range(40)}
+
+
+def test_an_empty_article_frames_nothing(spark):
+    rows = [(k, "http://h.example/", f"<nav>Menu</nav><article><div></div></article><div><p>Story {k}.</p></div>") for k in range(20)]
+    assert texts(spark, rows) == {k: f"Story {k}." for k in range(20)}
+
+
 def test_the_tree_holds_plain_entropies(spark):
     rows = [(k, "http://Host.example:80/x", f"<body><div><p>p{k % 3}</p>{'<p>extra</p>' * (k % 2)}</div></body>") for k in range(12)]
     rows += [(20, None, "<body><div><p>p0</p></div></body>"), (21, "http://z/", "<body><div><p>q</p></div></body>")]
